@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebasket.config import FeatureConfig
+from rebasket.operators.skew import HotKeys, find_hot_keys, join_unique
 
 
 def user_features(joined: DataFrame) -> DataFrame:
@@ -31,12 +32,17 @@ def product_features(joined: DataFrame) -> DataFrame:
     )
 
 
-def with_user_features(joined: DataFrame, users: DataFrame) -> DataFrame:
-    return joined.join(users, "user_id", "left")
+def hot_behaviour_keys(joined: DataFrame) -> HotKeys:
+    """Customers and products that own a large share of the lines."""
+    return find_hot_keys(joined, ["user_id"], ["product_id"])
 
 
-def with_product_features(joined: DataFrame, products: DataFrame) -> DataFrame:
-    return joined.join(products, "product_id", "left")
+def with_user_features(joined: DataFrame, users: DataFrame, hot: HotKeys) -> DataFrame:
+    return join_unique(joined, users, ["user_id"], "left", hot)
+
+
+def with_product_features(joined: DataFrame, products: DataFrame, hot: HotKeys) -> DataFrame:
+    return join_unique(joined, products, ["product_id"], "left", hot)
 
 
 def fill_numeric(df: DataFrame) -> DataFrame:
@@ -52,10 +58,11 @@ def project_present(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
 def build_features(joined: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """The feature table.
 
-    ``joined`` is read three times, twice for two or three columns only, so it
-    should be a stored table.  The reorder rate includes the row's own label and
+    ``joined`` is read several times, but only once for more than three columns,
+    so it should be a stored table.  The reorder rate includes the row's own label and
     both order sets: that is the definition, and it makes the rate optimistic.
     """
-    wide = with_user_features(joined, user_features(joined))
-    wide = with_product_features(wide, product_features(joined))
+    hot = hot_behaviour_keys(joined)
+    wide = with_user_features(joined, user_features(joined), hot)
+    wide = with_product_features(wide, product_features(joined), hot)
     return project_present(fill_numeric(wide), config.output_columns)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rebasket.operators.skew import find_hot_keys, join_unique
+
 
 def union_lines(prior: DataFrame, train: DataFrame) -> DataFrame:
     """All rows of both tables; a column only one side has is null on the other."""
@@ -51,11 +53,15 @@ def build_joined(
     combinations of its lines, orders and products, so the first combination is
     made of the first of each.  Hence every side is reduced before it is joined:
     narrow rows are deduplicated, and repeated dimension rows never multiply.
+    Orders or products that own a large share of the lines are salted.
     """
+    by_order, by_product = ["order_id"], ["product_id"]
     lines = union_lines(
         prior.withColumn("_source", F.lit(0)), train.withColumn("_source", F.lit(1))
     )
+    hot = find_hot_keys(lines, by_order, by_product)
     position = [c for c in ("_source", "add_to_cart_order") if c in lines.columns]
-    lines = first_per_key(lines, ["order_id", "product_id"], position).drop("_source")
-    lines = join_orders(lines, first_per_key(orders, ["order_id"]))
-    return default_days(join_products(lines, first_per_key(products, ["product_id"])))
+    lines = first_per_key(lines, by_order + by_product, position).drop("_source")
+    ordered = join_unique(lines, first_per_key(orders, by_order), by_order, "inner", hot)
+    joined = join_unique(ordered, first_per_key(products, by_product), by_product, "left", hot)
+    return default_days(joined)

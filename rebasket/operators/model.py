@@ -17,6 +17,7 @@ from rebasket.config import FeatureConfig, ModelConfig, TrainingConfig
 from rebasket.functions.rules import MODEL_CONFIDENCE, MODEL_REASON, class_label
 from rebasket.operators.sampling import cap_rows, stratified_split
 from rebasket.operators.statistics import accuracy, class_count, medians, modes, roc_auc, text_modes
+from rebasket.session import shared_folder
 
 
 class MissingColumn(ValueError):
@@ -91,6 +92,9 @@ def classifier(config: ModelConfig, label: str) -> RandomForestClassifier:
         seed=params.get("random_state", 42),
         # Nodes of one level are grown together as far as their statistics fit.
         maxMemoryInMB=1024,
+        # Rows remember their node in every tree instead of walking all trees
+        # once per level, which halves the time at depth 10.
+        cacheNodeIds=True,
     )
 
 
@@ -139,6 +143,16 @@ def model_result(scored: DataFrame, mode: str = "model") -> DataFrame:
     )
 
 
+def spread_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Enough partitions for every core; a table that has them is left alone.
+
+    Training passes over the rows once per tree level, so a small table in one
+    file must not keep a single core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class Trained:
     model: PipelineModel
@@ -179,8 +193,10 @@ def train(
 
     ``df`` is read several times and should be a stored table.
     """
+    shared_folder(df.sparkSession)  # where the forest cuts its lineage
     rows = training_rows(df, features, training)
-    fitted = fit_model(rows.filter(~F.col("in_test")), features, model)
+    fit_rows = spread_rows(rows.filter(~F.col("in_test")), training.row_key)
+    fitted = fit_model(fit_rows, features, model)
     scored = predict(fitted, rows.filter("in_test")).persist()
     metrics = evaluate_predictions(scored, features.label)
     return Trained(fitted, scored, metrics)

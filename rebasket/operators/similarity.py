@@ -9,6 +9,7 @@ are joined in bounded blocks.
 
 from __future__ import annotations
 
+import math
 import sys
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 MAX_QUERY_ROWS = 4096
 MAX_QUERY_VALUES = 8_000_000  # 64 MB of doubles
-BLOCK_DOCS = 50_000
+MAX_SHARD_VALUES = 16_000_000
 
 # Task functions travel by value, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -122,16 +123,14 @@ def _by_broadcast(corpus: DataFrame, queries: DataFrame, k: int, skip_self: bool
 
 
 def _by_blocks(
-    corpus: DataFrame, queries: DataFrame, k: int, skip_self: bool, n_queries: int, block_rows: int
+    corpus: DataFrame, queries: DataFrame, k: int, skip_self: bool, blocks: int, width: int
 ) -> DataFrame:
     """Blocks of queries against shards of the corpus; both sides of a group are bounded.
 
     A corpus row is copied once per query block and a query once per shard; each
     group of a block and a shard yields at most k rows per query.
     """
-    n_docs = corpus.count()
-    blocks = -(-n_queries // block_rows)
-    shards = max(1, -(-n_docs // BLOCK_DOCS))
+    shards = math.ceil(max(corpus.count(), 1) * width / MAX_SHARD_VALUES)
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     docs = corpus.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
@@ -180,11 +179,12 @@ def top_k_similar(
         for df in (corpus, queries)
     )
     size = queries.agg(F.count("*").alias("rows"), F.max(F.size("vector")).alias("width")).first()
-    block_rows = min(max_queries, max(1, MAX_QUERY_VALUES // max(size["width"] or 1, 1)))
-    if size["rows"] <= block_rows:
+    width = max(size["width"] or 1, 1)
+    blocks = math.ceil(size["rows"] / min(max_queries, max(1, MAX_QUERY_VALUES // width)))
+    if blocks <= 1:
         candidates = _by_broadcast(corpus, queries, k, skip_self)
     else:
-        candidates = _by_blocks(corpus, queries, k, skip_self, size["rows"], block_rows)
+        candidates = _by_blocks(corpus, queries, k, skip_self, blocks, width)
     return _rank(candidates, k)
 
 

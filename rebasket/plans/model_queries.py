@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebasket.config import FeatureConfig
+from rebasket.config import FeatureConfig, TrainingConfig
 from rebasket.functions.rules import MODEL_CONFIDENCE, MODEL_REASON
 from rebasket.operators.joined import join_orders, join_products, union_lines
 from rebasket.operators.model import (
@@ -19,7 +19,6 @@ from rebasket.operators.model import (
     training_rows,
     validation_rows,
 )
-from rebasket.config import TrainingConfig
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
 from rebasket.sources.runs import load_model
 from rebasket.sources.tables import read_csv, write_csv

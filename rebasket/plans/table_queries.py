@@ -10,6 +10,7 @@ from rebasket.functions.rules import score_with_rules
 from rebasket.operators.features import (
     build_features,
     fill_numeric,
+    hot_behaviour_keys,
     product_features,
     project_present,
     user_features,
@@ -170,7 +171,8 @@ def product_features_table(bench: Workbench) -> DataFrame:
     FROM d_joined j LEFT JOIN d_users u ON u.user_id = j.user_id"""
 )
 def join_back_user_features(bench: Workbench) -> DataFrame:
-    return with_user_features(bench.joined, user_features(bench.joined))
+    hot = hot_behaviour_keys(bench.joined)
+    return with_user_features(bench.joined, user_features(bench.joined), hot)
 
 
 @query(
@@ -178,7 +180,8 @@ def join_back_user_features(bench: Workbench) -> DataFrame:
     FROM d_joined j LEFT JOIN d_items i ON i.product_id = j.product_id"""
 )
 def join_back_product_features(bench: Workbench) -> DataFrame:
-    return with_product_features(bench.joined, product_features(bench.joined))
+    hot = hot_behaviour_keys(bench.joined)
+    return with_product_features(bench.joined, product_features(bench.joined), hot)
 
 
 @query(

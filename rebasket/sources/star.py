@@ -91,13 +91,9 @@ def star_departments(part: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def star_lines(lineitem: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines; ``reordered`` is 1 when the customer bought from that aisle before.
-
-    The first purchase per (customer, aisle) is a partial aggregate joined back,
-    not a window: a window would sort all lines of a heavy customer in one task.
-    """
-    lines = (
+def bought_lines(lineitem: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines with the customer, order number and aisle they belong to."""
+    return (
         lineitem.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
@@ -106,9 +102,23 @@ def star_lines(lineitem: DataFrame, orders: DataFrame, products: DataFrame) -> D
         .join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
         .join(products.select("product_id", "aisle_id"), "product_id")
     )
-    first = lines.groupBy("user_id", "aisle_id").agg(
-        F.min("order_number").alias("first_number")
-    )
+
+
+def first_purchases(lines: DataFrame) -> DataFrame:
+    """The number of the order in which a customer first bought from an aisle.
+
+    A partial aggregate, not a window: a window would sort all lines of a heavy
+    customer in one task.
+    """
+    return lines.groupBy("user_id", "aisle_id").agg(F.min("order_number").alias("first_number"))
+
+
+def star_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
+    """Order lines; ``reordered`` is 1 when the customer bought from that aisle before.
+
+    ``first`` should be a stored table: read straight from storage, the join can
+    split the partition of a heavy customer at run time.
+    """
     return lines.join(first, ["user_id", "aisle_id"]).select(
         "order_id",
         "product_id",
@@ -145,8 +155,9 @@ def stage_star(spark: SparkSession, folder: str) -> StagedTables:
         "aisles": hand_over(star_aisles(part), "aisles"),
         "departments": hand_over(star_departments(part), "departments"),
     }
-    lines = star_lines(
+    bought = bought_lines(
         raw("lineitem"), tables["orders"].read(spark), tables["products"].read(spark)
     )
-    tables["lines"] = hand_over(lines, "lines", partition_by="eval_set")
+    first = hand_over(first_purchases(bought), "first-purchases").read(spark)
+    tables["lines"] = hand_over(star_lines(bought, first), "lines", partition_by="eval_set")
     return StagedTables(spark, tables)
