@@ -114,11 +114,23 @@ def preprocessing(df: DataFrame, features: FeatureConfig) -> list:
     return [fill, *encoder(categories), assembler(filled_columns(fill, numeric), categories)]
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Enough partitions for every core; a table that has them is left alone.
+
+    For work that is heavy per row, so that a small table in one file does not
+    keep a single core busy.  ``df`` should read a stored table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_model(
     train: DataFrame, features: FeatureConfig = FeatureConfig(), model: ModelConfig = ModelConfig()
 ) -> PipelineModel:
     forest = classifier(model, features.label)
-    return Pipeline(stages=[*preprocessing(train, features), forest]).fit(train)
+    inputs = Pipeline(stages=preprocessing(train, features)).fit(train)
+    prepared = inputs.transform(train).select("features", features.label)
+    return PipelineModel([*inputs.stages, forest.fit(spread_rows(prepared))])
 
 
 def predict(model: PipelineModel, records: DataFrame) -> DataFrame:
@@ -143,16 +155,6 @@ def model_result(scored: DataFrame, mode: str = "model") -> DataFrame:
     )
 
 
-def spread_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Enough partitions for every core; a table that has them is left alone.
-
-    Training passes over the rows once per tree level, so a small table in one
-    file must not keep a single core busy.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
-
-
 @dataclass(frozen=True)
 class Trained:
     model: PipelineModel
@@ -195,8 +197,7 @@ def train(
     """
     shared_folder(df.sparkSession)  # where the forest cuts its lineage
     rows = training_rows(df, features, training)
-    fit_rows = spread_rows(rows.filter(~F.col("in_test")), training.row_key)
-    fitted = fit_model(fit_rows, features, model)
-    scored = predict(fitted, rows.filter("in_test")).persist()
+    fitted = fit_model(rows.filter(~F.col("in_test")), features, model)
+    scored = predict(fitted, spread_rows(rows.filter("in_test"))).persist()
     metrics = evaluate_predictions(scored, features.label)
     return Trained(fitted, scored, metrics)

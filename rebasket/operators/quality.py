@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebasket.functions.validation import record_errors, typed
+from rebasket.functions.validation import is_valid, record_errors, typed
 from rebasket.schemas import RECORD_FIELDS
 
 
@@ -17,19 +17,29 @@ class InvalidRecords(ValueError):
 
 def validate(records: DataFrame) -> DataFrame:
     """Add ``errors``: an array of ``{field, message}``, empty for a valid record."""
-    return records.withColumn("errors", record_errors())
+    return records.withColumn("errors", record_errors(records.schema))
 
 
 def as_declared(records: DataFrame) -> DataFrame:
     """Cast the record fields to their declared types; call it on valid records."""
-    return records.withColumns({field.name: typed(field) for field in RECORD_FIELDS})
+    kinds = records.schema
+    return records.withColumns(
+        {field.name: typed(field, kinds[field.name].dataType) for field in RECORD_FIELDS}
+    )
+
+
+def valid_records(records: DataFrame) -> DataFrame:
+    return records.filter(is_valid(records.schema))
+
+
+def invalid_records(records: DataFrame) -> DataFrame:
+    return records.filter(~is_valid(records.schema))
 
 
 def violations(records: DataFrame, identity: Sequence[str]) -> DataFrame:
     """One row per violated field, with the identity of its record."""
-    return validate(records).select(*identity, F.explode("errors").alias("e")).select(
-        *identity, "e.field", "e.message"
-    )
+    errors = F.explode(record_errors(records.schema)).alias("e")
+    return records.select(*identity, errors).select(*identity, "e.field", "e.message")
 
 
 def split_valid(records: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -37,13 +47,11 @@ def split_valid(records: DataFrame, strict: bool = False) -> tuple[DataFrame, Da
 
     ``strict=True`` raises if any record is bad or there is no record at all.
     """
-    checked = validate(records)
-    bad = checked.filter(F.size("errors") > 0)
+    bad = validate(invalid_records(records))
     if strict:
         example = bad.select("errors").take(1)
         if example:
             raise InvalidRecords(f"invalid record: {example[0]['errors']}")
         if not records.take(1):
             raise InvalidRecords("no records")
-    good = checked.filter(F.size("errors") == 0).drop("errors")
-    return as_declared(good), bad
+    return as_declared(valid_records(records)), bad

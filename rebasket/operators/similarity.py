@@ -64,7 +64,7 @@ class _Best:
         self.found: list[list[tuple]] = [[] for _ in query_ids]
 
     def add(self, ids: pa.Array, docs: np.ndarray) -> None:
-        if not len(docs):
+        if not len(docs) or not self.query_ids:
             return
         lengths = np.einsum("ij,ij->i", docs, docs)
         rough = lengths[:, None] + np.einsum("ij,ij->i", self.queries, self.queries)

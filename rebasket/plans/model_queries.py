@@ -16,6 +16,7 @@ from rebasket.operators.model import (
     imputer,
     model_result,
     predict,
+    spread_rows,
     training_rows,
     validation_rows,
 )
@@ -130,7 +131,7 @@ def train_random_forest_metrics(bench: Workbench) -> DataFrame:
 def model_batch_scores(bench: Workbench) -> DataFrame:
     """Every feature row scored by the saved model's latest version."""
     model = load_model(bench.spark, bench.model_root, "reorder_model")
-    return predict(model, bench.features).select(*RECORD_KEY, "prediction", "probability")
+    return predict(model, spread_rows(bench.features)).select(*RECORD_KEY, "prediction", "probability")
 
 
 @query(
@@ -140,7 +141,7 @@ def model_batch_scores(bench: Workbench) -> DataFrame:
 def model_result_rows(bench: Workbench) -> DataFrame:
     """The constant parts of a model result, and whether the label text fits the class."""
     model = load_model(bench.spark, bench.model_root, "reorder_model")
-    results = model_result(predict(model, bench.features))
+    results = model_result(predict(model, spread_rows(bench.features)))
     fits = (F.col("prediction") == 1) == (F.col("label") == "likely_reordered")
     return results.select(*RECORD_KEY, "confidence_hint", "reason", fits.alias("label_fits"))
 

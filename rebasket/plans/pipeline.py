@@ -12,7 +12,14 @@ from rebasket.config import DEFAULT_STAGES, STAGES, FeatureConfig, ModelConfig,
 from rebasket.operators.drift import RETRAIN_STATUS, STABLE_STATUS, check_drift
 from rebasket.operators.features import build_features
 from rebasket.operators.joined import build_joined
-from rebasket.operators.model import Trained, model_result, predict, train, validation_rows
+from rebasket.operators.model import (
+    Trained,
+    model_result,
+    predict,
+    spread_rows,
+    train,
+    validation_rows,
+)
 from rebasket.operators.quality import split_valid
 from rebasket.sources.records import read_records, write_json
 from rebasket.sources.runs import (
@@ -114,7 +121,7 @@ def score_batch(spark: SparkSession, job: Job, path: str | None = None) -> DataF
         read_records(spark, job.records, job.records_are_arrays), strict=True
     )
     model = load_model(spark, job.root, job.training.model_name, path)
-    return model_result(predict(model, records))
+    return model_result(predict(model, spread_rows(records)))
 
 
 def deploy(spark: SparkSession, job: Job) -> str:

@@ -21,6 +21,7 @@ from rebasket.functions.rules import (
 )
 from rebasket.functions.validation import within
 from rebasket.operators.drift import flag_drift
+from rebasket.operators.model import spread_rows
 from rebasket.operators.quality import split_valid, validate, violations
 from rebasket.operators.similarity import centroids, fit_text_vectors, text_vectors, top_k_similar
 from rebasket.operators.statistics import accuracy, roc_auc
@@ -59,10 +60,10 @@ def validation_report(bench: Workbench) -> DataFrame:
 )
 def valid_quarantine_counts(bench: Workbench) -> DataFrame:
     good, bad = split_valid(bench.rough_records)
-    parts = good.select(F.lit(1).alias("ok")).unionAll(bad.select(F.lit(0).alias("ok")))
-    return parts.agg(
-        F.count_if(F.col("ok") == 1).alias("valid"),
-        F.count_if(F.col("ok") == 0).alias("quarantined"),
+    return (
+        good.agg(F.count("*").alias("valid"), F.lit(0).cast("long").alias("quarantined"))
+        .unionAll(bad.agg(F.lit(0).cast("long"), F.count("*")))
+        .agg(F.sum("valid").alias("valid"), F.sum("quarantined").alias("quarantined"))
     )
 
 
@@ -258,7 +259,7 @@ def topk_similar(bench: Workbench) -> DataFrame:
 @query()
 def text_topk(bench: Workbench) -> DataFrame:
     """The four documents nearest to each benchmark passage, by whole texts."""
-    documents = bench.raw("documents").select("doc_id", "text")
+    documents = spread_rows(bench.raw("documents").select("doc_id", "text"))
     model = fit_text_vectors(documents)
     corpus = text_vectors(model, documents, "doc_id")
     questions = text_vectors(model, bench.raw("benchmark").select("item_id", "text"), "item_id")
