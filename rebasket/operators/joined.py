@@ -53,13 +53,18 @@ def build_joined(
     combinations of its lines, orders and products, so the first combination is
     made of the first of each.  Hence every side is reduced before it is joined:
     narrow rows are deduplicated, and repeated dimension rows never multiply.
-    Orders or products that own a large share of the lines are salted.
+
+    Without a hot order the lines are shuffled by order once, which serves both
+    the deduplication and the join.  With one, they are deduplicated by order
+    and product, and the rows of hot orders and products are salted.
     """
     by_order, by_product = ["order_id"], ["product_id"]
     lines = union_lines(
         prior.withColumn("_source", F.lit(0)), train.withColumn("_source", F.lit(1))
     )
     hot = find_hot_keys(lines, by_order, by_product)
+    if not hot.of(by_order):
+        lines = lines.repartition("order_id")
     position = [c for c in ("_source", "add_to_cart_order") if c in lines.columns]
     lines = first_per_key(lines, by_order + by_product, position).drop("_source")
     ordered = join_unique(lines, first_per_key(orders, by_order), by_order, "inner", hot)
