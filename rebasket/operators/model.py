@@ -16,8 +16,8 @@ from pyspark.sql.types import NumericType
 from rebasket.config import FeatureConfig, ModelConfig, TrainingConfig
 from rebasket.functions.rules import MODEL_CONFIDENCE, MODEL_REASON, class_label
 from rebasket.operators.sampling import cap_rows, stratified_split
-from rebasket.operators.statistics import accuracy, class_count, medians, modes, roc_auc, text_modes
-from rebasket.session import shared_folder
+from rebasket.operators.statistics import accuracy, medians, modes, roc_auc, text_modes
+from rebasket.session import shared_folder, spread_rows
 
 
 class MissingColumn(ValueError):
@@ -114,16 +114,6 @@ def preprocessing(df: DataFrame, features: FeatureConfig) -> list:
     return [fill, *encoder(categories), assembler(filled_columns(fill, numeric), categories)]
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Enough partitions for every core; a table that has them is left alone.
-
-    For work that is heavy per row, so that a small table in one file does not
-    keep a single core busy.  ``df`` should read a stored table.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def fit_model(
     train: DataFrame, features: FeatureConfig = FeatureConfig(), model: ModelConfig = ModelConfig()
 ) -> PipelineModel:
@@ -180,8 +170,9 @@ def validation_rows(scored: DataFrame, label: str) -> DataFrame:
 def evaluate_predictions(scored: DataFrame, label: str) -> dict:
     """Accuracy, and the ROC-AUC if the test labels have more than one class."""
     metrics = {"accuracy": accuracy(scored, "prediction", label).first()["accuracy"]}
-    if class_count(scored, label).first()["classes"] > 1:
-        metrics["roc_auc"] = roc_auc(scored, "probability", label).first()["roc_auc"]
+    area = roc_auc(scored, "probability", label).first()["roc_auc"]
+    if area is not None:
+        metrics["roc_auc"] = area
     return metrics
 
 

@@ -16,11 +16,11 @@ from rebasket.operators.model import (
     imputer,
     model_result,
     predict,
-    spread_rows,
     training_rows,
     validation_rows,
 )
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
+from rebasket.session import spread_rows
 from rebasket.sources.runs import load_model
 from rebasket.sources.tables import read_csv, write_csv
 

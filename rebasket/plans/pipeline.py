@@ -16,11 +16,11 @@ from rebasket.operators.model import (
     Trained,
     model_result,
     predict,
-    spread_rows,
     train,
     validation_rows,
 )
 from rebasket.operators.quality import split_valid
+from rebasket.session import spread_rows
 from rebasket.sources.records import read_records, write_json
 from rebasket.sources.runs import (
     load_model,

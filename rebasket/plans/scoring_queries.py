@@ -21,12 +21,12 @@ from rebasket.functions.rules import (
 )
 from rebasket.functions.validation import within
 from rebasket.operators.drift import flag_drift
-from rebasket.operators.model import spread_rows
 from rebasket.operators.quality import split_valid, validate, violations
 from rebasket.operators.similarity import centroids, fit_text_vectors, text_vectors, top_k_similar
 from rebasket.operators.statistics import accuracy, roc_auc
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
 from rebasket.schemas import RECORD_FIELDS
+from rebasket.session import spread_rows
 from rebasket.sources.runs import latest_metrics
 from rebasket.streaming.scoring import read_stream, score_stream
 

@@ -63,6 +63,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{run}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Enough partitions for every core; a table that has them is left alone.
+
+    For work that is heavy per row, so that a small table in one file does not
+    keep a single core busy.  ``df`` should read a stored table: its partitions
+    are counted, which would run the shuffles of a longer plan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class Handover:
     """A Parquet table between two stages: it cuts lineage and survives executors."""

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rebasket.session import Handover, hand_over
+from rebasket.session import Handover, hand_over, spread_rows
 
 # Part types of the star, numbered in alphabetical order.
 DEPARTMENTS = {
@@ -150,13 +150,13 @@ def stage_star(spark: SparkSession, folder: str) -> StagedTables:
 
     part = raw("part")
     tables = {
-        "orders": hand_over(star_orders(raw("orders")), "orders"),
+        "orders": hand_over(star_orders(spread_rows(raw("orders"))), "orders"),
         "products": hand_over(star_products(part), "products"),
         "aisles": hand_over(star_aisles(part), "aisles"),
         "departments": hand_over(star_departments(part), "departments"),
     }
     bought = bought_lines(
-        raw("lineitem"), tables["orders"].read(spark), tables["products"].read(spark)
+        spread_rows(raw("lineitem")), tables["orders"].read(spark), tables["products"].read(spark)
     )
     first = hand_over(first_purchases(bought), "first-purchases").read(spark)
     tables["lines"] = hand_over(star_lines(bought, first), "lines", partition_by="eval_set")

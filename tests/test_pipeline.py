@@ -211,3 +211,32 @@ def test_json_round_trip(spark, tmp_path):
 def test_every_run_writes_to_paths_of_its_own(spark):
     assert new_path(spark, "t").startswith(shared_folder(spark) + "/")
     assert new_path(spark, "t") != new_path(spark, "t")
+
+
+def test_stream_scored_by_a_model(spark, job, tmp_path):
+    from rebasket.operators.model import model_result, predict
+    from rebasket.sources.runs import load_model
+
+    run(spark, replace(job, stages=DEFAULT_STAGES[:4]))
+    model = load_model(spark, job.root, "reorder_model")
+    spark.createDataFrame([GOOD, GOOD], RECORD).write.json(str(tmp_path / "in"))
+    records = read_stream(spark, str(tmp_path / "in"), RECORD_TEXT, "json")
+    score_stream(
+        records,
+        str(tmp_path / "scores"),
+        str(tmp_path / "check"),
+        score=lambda good: model_result(predict(model, good)),
+    ).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "scores")).collect()
+    assert [r.confidence_hint for r in rows] == ["model_score"] * 2
+
+
+def test_command_line_makes_a_job():
+    from rebasket.__main__ import job_of, parse
+
+    made = job_of(parse(["--raw", "a", "--root", "b", "--demo", "--stages", "training"]))
+    assert (made.raw, made.root, made.stages) == ("a", "b", ("training",))
+    assert made.training == DEMO_TRAINING
+    assert job_of(parse(["--raw", "a", "--root", "b"])).training.max_rows is None
+    with pytest.raises(SystemExit):
+        parse(["--raw", "a", "--root", "b", "--stages", "cleaning"])
