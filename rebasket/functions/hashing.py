@@ -7,13 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BUCKET_DIGITS = 4  # 16 ** 4 buckets: a bucket holds about 1 in 65,536 rows
-
 
 def row_hash(seed: int, key: Sequence[str]) -> Column:
     """A 32-digit hex hash of the seed and the key columns."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
-
-
-def hash_bucket(hashed: Column) -> Column:
-    return F.substring(hashed, 1, BUCKET_DIGITS)

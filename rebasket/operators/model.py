@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -119,8 +120,13 @@ def fit_model(
 ) -> PipelineModel:
     forest = classifier(model, features.label)
     inputs = Pipeline(stages=preprocessing(train, features)).fit(train)
-    prepared = inputs.transform(train).select("features", features.label)
-    return PipelineModel([*inputs.stages, forest.fit(spread_rows(prepared))])
+    prepared = spread_rows(inputs.transform(train).select("features", features.label))
+    # Three passes of the fit read the prepared rows: classes, bins and trees.
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel([*inputs.stages, forest.fit(prepared)])
+    finally:
+        prepared.unpersist()
 
 
 def predict(model: PipelineModel, records: DataFrame) -> DataFrame:

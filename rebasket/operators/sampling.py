@@ -2,9 +2,10 @@
 
 Rows are put in random order by a hash of their key.  Ranking all rows would
 sort a whole class in one task, so the rank is never computed.  Counts per hash
-bucket tell in which bucket the wanted number of rows is reached; only the rows
-of that bucket are ranked, which gives the hash of the last row to take.  What
-remains is a comparison with that hash: the table itself is not shuffled.
+bucket tell in which bucket the wanted number of rows is reached; a large bucket
+is divided in the same way.  Only the rows of the last bucket are ranked, which
+gives the hash of the last row to take.  What remains is a comparison with that
+hash: the table itself is not shuffled.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rebasket.functions.hashing import hash_bucket, row_hash
+from rebasket.functions.hashing import row_hash
 
 MAX_CLASSES = 1000
+BUCKET_DIGITS = 3  # 4,096 buckets per class and step
+HASH_DIGITS = 32
+MAX_RANKED = 1_000_000  # a bucket with more rows is divided again
 _NONE, _ALL = "", "~"  # below and above every hex digit
 
 
@@ -44,47 +48,59 @@ def _per_class(values: dict, default) -> Column:
     return F.lit(default) if choice is None else choice.otherwise(default)
 
 
+def _bucket_reached(buckets: DataFrame, wanted: dict) -> dict:
+    """Per class, the bucket that holds the ``wanted``-th row, as (bucket, rows, offset)."""
+    reached = F.sum("n").over(Window.partitionBy("_class").orderBy("_bucket"))
+    rows = (
+        buckets.withColumn("_reached", reached)
+        .withColumn("_wanted", _per_class(wanted, 0))
+        .filter(F.col("_wanted").between(F.col("_reached") - F.col("n") + 1, F.col("_reached")))
+        .collect()  # one row per class
+    )
+    return {
+        row["_class"]: (row["_bucket"], row["n"], row["_wanted"] - row["_reached"] + row["n"])
+        for row in rows
+    }
+
+
 def _last_hashes(hashed: DataFrame, buckets: DataFrame, wanted: dict) -> dict:
     """Per class, the hash of the ``wanted``-th row in hash order."""
-    running = Window.partitionBy("_class").orderBy("_bucket")
-    reached = F.sum("n").over(running)
-    reached_in = (
-        buckets.withColumn("_wanted", _per_class(wanted, 0))
-        .withColumn("_before", reached - F.col("n"))
-        .filter((F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_before") + F.col("n")))
-        .collect()  # at most one row per class
-    )
-    if not reached_in:
-        return {}
-    bucket_of = {row["_class"]: row["_bucket"] for row in reached_in}
-    offset_of = {row["_class"]: row["_wanted"] - row["_before"] for row in reached_in}
-    in_bucket = hashed.filter(F.col("_bucket") == _per_class(bucket_of, _NONE))
-    by_hash = Window.partitionBy("_class").orderBy("_hash")
-    candidates = (
-        in_bucket.groupBy("_class", "_hash")
-        .agg(F.count("*").alias("n"))
-        .withColumn("_reached", F.sum("n").over(by_hash))
-        .withColumn("_offset", _per_class(offset_of, 0))
-        .filter((F.col("_reached") >= F.col("_offset")) & (F.col("_reached") - F.col("n") < F.col("_offset")))
-        .collect()  # at most one row per class
-    )
-    for row in candidates:
-        if row["_reached"] != row["_offset"]:
+    found, prefix, digits = _bucket_reached(buckets, wanted), dict.fromkeys(wanted, ""), 0
+    while True:
+        digits += BUCKET_DIGITS
+        prefix = {c: prefix[c] + bucket for c, (bucket, _, _) in found.items()}
+        offset = {c: rest for c, (_, _, rest) in found.items()}
+        inside = hashed.filter(F.substring("_hash", 1, digits) == _per_class(prefix, _NONE))
+        largest = max(rows for _, rows, _ in found.values())
+        if largest <= MAX_RANKED or digits >= HASH_DIGITS:
+            break
+        next_digits = F.substring("_hash", digits + 1, BUCKET_DIGITS).alias("_bucket")
+        found = _bucket_reached(_count_buckets(inside, next_digits), offset)
+    by_hash = inside.groupBy("_class", "_hash").agg(F.count("*").alias("n"))
+    last = {}
+    for label, (value, rows, rest) in _bucket_reached(
+        by_hash.withColumnRenamed("_hash", "_bucket"), offset
+    ).items():
+        if rest != rows:
             raise ValueError(
-                f"the row key is not unique: {row['n']} rows share the hash at the cut; "
+                f"the row key is not unique: {rows} rows share the hash at the cut; "
                 "add columns to the key"
             )
-    return {row["_class"]: row["_hash"] for row in candidates}
+        last[label] = value
+    return last
+
+
+def _count_buckets(hashed: DataFrame, bucket: Column) -> DataFrame:
+    return hashed.groupBy("_class", bucket).agg(F.count("*").alias("n"))
 
 
 def _take_per_class(
     df: DataFrame, group: Column, key: Sequence[str], seed: int, choose
 ) -> Column:
     """A boolean column: whether the row is among those ``choose`` wants per class."""
-    hashed = df.select(group.alias("_class"), row_hash(seed, key).alias("_hash")).withColumn(
-        "_bucket", hash_bucket(F.col("_hash"))
-    )
-    buckets = hashed.groupBy("_class", "_bucket").agg(F.count("*").alias("n")).persist()
+    hashed = df.select(group.alias("_class"), row_hash(seed, key).alias("_hash"))
+    first_digits = F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket")
+    buckets = _count_buckets(hashed, first_digits).persist()
     try:
         totals = buckets.groupBy("_class").agg(F.sum("n").alias("n")).take(MAX_CLASSES + 1)
         if len(totals) > MAX_CLASSES:

@@ -19,33 +19,22 @@ def class_count(df: DataFrame, label: str) -> DataFrame:
     return df.agg(F.countDistinct(label).alias("classes"))
 
 
-def _long_form(columns: Sequence[str], value_type: str, keep=None) -> Column:
-    """An array of ``{column, value}`` with nulls (and unwanted values) left out."""
-    entries = []
-    for name in columns:
-        value = F.col(name).cast(value_type)
-        wanted = value.isNotNull() if keep is None else value.isNotNull() & keep(name, value)
-        entries.append(
-            F.when(wanted, F.struct(F.lit(name).alias("column"), value.alias("value")))
-        )
-    return F.array_compact(F.array(*entries))
-
-
-def _counted(df: DataFrame, entries: Column) -> DataFrame:
-    return (
-        df.select(F.explode(entries).alias("e"))
-        .groupBy(F.col("e.column").alias("column"), F.col("e.value").alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
+def _counted(values: DataFrame) -> DataFrame:
+    """(column, value, n) over all columns of a table, nulls left out."""
+    long = values.unpivot([], values.columns, "column", "value")
+    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("value").isNotNull())
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The exact median per numeric column: (column, median), nulls and NaN ignored.
 
     A mergeable sketch first brackets each median within a few ten-thousandths
-    of the rows.  The second pass counts what lies below the bracket and only the
+    of the rows.  The second pass counts the rows per value, with all values
+    below a bracket taken as one and all above as another, so that only the
     values inside it are put in order.
     """
+
     def number(name: str) -> Column:
         value = F.col(name).cast("double")
         return F.when(~F.isnan(value), value)
@@ -55,45 +44,27 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     brackets = clean.agg(
         *[F.percentile_approx(c, around, F.lit(_ACCURACY)).alias(c) for c in columns]
     ).first()
-    known = [c for c in columns if brackets[c] is not None]
-    schema = "column string, median double"
-    if not known:
-        return df.sparkSession.createDataFrame([], schema)
-
-    below = clean.agg(
-        *[F.count(F.when(F.col(c) < brackets[c][0], 1)).alias(f"below_{c}") for c in known],
-        *[F.count(c).alias(f"rows_{c}") for c in known],
-    ).select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.col(f"below_{c}").alias("below"),
-                        F.col(f"rows_{c}").alias("rows"),
-                    )
-                    for c in known
-                ]
-            )
-        ).alias("e")
-    ).select("e.*")
-    inside = _counted(
-        clean,
-        _long_form(known, "double", lambda c, v: v.between(brackets[c][0], brackets[c][1])),
+
+    def bracketed(name: str) -> Column:
+        low, high = brackets[name] or (0.0, 0.0)
+        below = F.when(F.col(name) < low, F.lit(float("-inf")))
+        return below.when(F.col(name) > high, F.lit(float("inf"))).otherwise(F.col(name))
+
+    counts = _counted(clean.select([bracketed(c).alias(c) for c in columns]))
+    column = Window.partitionBy("column")
+    ranked = counts.select(
+        "column",
+        "value",
+        "n",
+        F.sum("n").over(column.orderBy("value")).alias("reached"),
+        (F.sum("n").over(column) / 2).alias("half"),
     )
-    by_value = Window.partitionBy("column").orderBy("value")
-    reached = F.col("below") + F.sum("n").over(by_value)
-    return (
-        inside.join(below, "column")
-        .withColumns({"reached": reached, "half": F.col("rows") / 2})
-        # the rows of rank floor(half) + 1 and, for an even count, half
-        .filter((F.col("reached") >= F.col("half")) & (F.col("reached") - F.col("n") <= F.col("half")))
-        .groupBy("column")
-        .agg(
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        )
-        .select("column", ((F.col("low") + F.col("high")) / 2).alias("median"))
+    # The rows of rank floor(half) + 1 and, for an even count, half.
+    middle = ranked.filter(
+        (F.col("reached") >= F.col("half")) & (F.col("reached") - F.col("n") <= F.col("half"))
+    )
+    return middle.groupBy("column").agg(
+        ((F.min("value") + F.max("value")) / 2).alias("median")
     )
 
 
@@ -102,7 +73,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     At a tie the smaller value wins; nulls are ignored.
     """
-    counts = _counted(df, _long_form(columns, "long"))
+    counts = _counted(df.select([F.col(c).cast("long").alias(c) for c in columns]))
     return counts.groupBy("column").agg(
         F.max_by("value", F.struct("n", -F.col("value"))).alias("mode")
     )
@@ -110,7 +81,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def text_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Like ``modes`` for text columns; at a tie the first in byte order wins."""
-    counts = _counted(df, _long_form(columns, "string"))
+    counts = _counted(df.select([F.col(c).cast("string").alias(c) for c in columns]))
     top = counts.groupBy("column").agg(F.max("n").alias("n"))
     return (
         counts.join(top, ["column", "n"]).groupBy("column").agg(F.min("value").alias("mode"))

@@ -129,10 +129,25 @@ def test_cap_takes_the_first_by_hash(labelled, wanted):
     assert sorted(r.line for r in capped.collect()) == sorted(r.line for r in direct.collect())
 
 
+def test_large_buckets_are_divided(labelled, monkeypatch):
+    from rebasket.operators import sampling
+
+    key = ["user_id", "line"]
+    direct = stratified_split(labelled, "y", 0.33, key).filter("in_test")
+    monkeypatch.setattr(sampling, "BUCKET_DIGITS", 1)
+    monkeypatch.setattr(sampling, "MAX_RANKED", 3)
+    divided = stratified_split(labelled, "y", 0.33, key).filter("in_test")
+    assert divided.exceptAll(direct).count() == 0 and divided.count() == direct.count()
+
+
 def test_no_cap_keeps_the_table(labelled):
     assert cap_rows(labelled, None, ["line"]) is labelled
 
 
-def test_ambiguous_cut_is_reported(labelled):
+@pytest.mark.parametrize("ranked", [1_000_000, 3])
+def test_ambiguous_cut_is_reported(labelled, ranked, monkeypatch):
+    from rebasket.operators import sampling
+
+    monkeypatch.setattr(sampling, "MAX_RANKED", ranked)
     with pytest.raises(ValueError, match="not unique"):
         cap_rows(labelled, 1_001, ["user_id"])
