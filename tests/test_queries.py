@@ -118,3 +118,19 @@ def test_heavy_customer_keeps_exact_order_numbers(spark):
         | ((F.col("eval_set") == "train") != F.col("last"))
     )
     assert joined.count() == raw.count() and wrong.count() == 0
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test data")
+def test_known_values(spark):
+    bench = workbench(spark, "/root/testdata/sf0.01")
+    counts = bench.joined.groupBy("eval_set").agg(F.count("*"), F.sum("reordered"))
+    assert {row[0]: tuple(row[1:]) for row in counts.collect()} == {
+        "prior": (54_011, 24_445),
+        "train": (5_934, 4_291),
+    }
+    assert bench.features.count() == 59_945
+    queries = contract.queries()
+    share = queries["accuracy_rule_scorer"](spark, bench.folder).first()[0]
+    area = queries["roc_auc_reorder_rate"](spark, bench.folder).first()[0]
+    assert share == pytest.approx(0.4948202518975728, abs=1e-12)
+    assert area == pytest.approx(0.606548, abs=1e-6)
