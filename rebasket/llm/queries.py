@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rebasket.llm.decontaminate import contamination_digest, find_contamination
+from rebasket.llm.licences import scan_licences
 from rebasket.llm.tokens import count_tokens
+from rebasket.llm.toxicity import fit, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +25,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return contamination_digest(find_contamination(docs, items))
+
+
+@query
+def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licences(table(spark, folder, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = score_toxicity(docs, fit(docs, labels, ~held_out()))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     file = public_tokenizers.path("byte_bpe_50k.json")
