@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rebasket.llm.decontaminate import contamination_digest, find_contamination
 from rebasket.llm.licences import scan_licences
+from rebasket.llm.mixing import mix, mixed_words
+from rebasket.llm.sharding import shard_documents
 from rebasket.llm.tokens import count_tokens
 from rebasket.llm.toxicity import fit, held_out, score_toxicity
 
@@ -25,6 +28,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixed_words(mix(table(spark, folder, "documents"), "doc_id"))
+
+
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -43,6 +51,20 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shard_documents(table(spark, folder, "documents"), 16)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     file = public_tokenizers.path("byte_bpe_50k.json")
