@@ -103,11 +103,11 @@ def fit(
             yield pa.RecordBatch.from_pydict({"index": index, "z": z[index], "n": n[index]})
 
     states = chosen.mapInArrow(run, "index long, z double, n double")
-    merged = states.groupBy("index").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas()
-    merged = merged.sort_values("index")
-    weight = settings.weights(merged["z"].to_numpy() / WORKERS, merged["n"].to_numpy() / WORKERS)
-    used = weight != 0
-    return {"index": merged["index"].to_numpy()[used], "weight": weight[used]}
+    mean = states.groupBy("index").agg((F.sum("z") / WORKERS).alias("z"), (F.sum("n") / WORKERS).alias("n"))
+    # What L1 leaves at zero never reaches the driver.
+    merged = mean.filter(F.abs("z") > settings.l1).orderBy("index").toArrow()
+    z, n = merged["z"].to_numpy(), merged["n"].to_numpy()
+    return {"index": merged["index"].to_numpy(), "weight": settings.weights(z, n)}
 
 
 def score_toxicity(docs: DataFrame, model: dict[str, np.ndarray], *keep: str, threshold: float = THRESHOLD) -> DataFrame:
