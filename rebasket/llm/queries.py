@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rebasket.llm.decontaminate import contamination_digest, find_contamination
 from rebasket.llm.licences import scan_licences
+from rebasket.llm.minhash import near_duplicates
 from rebasket.llm.mixing import mix, mixed_words
 from rebasket.llm.sharding import shard_documents
 from rebasket.llm.tokens import count_tokens
@@ -33,6 +34,11 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_words(mix(table(spark, folder, "documents"), "doc_id"))
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), width=2)
+
+
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
