@@ -12,6 +12,7 @@ from rebasket.llm.decontaminate import contamination_digest, find_contamination
 from rebasket.llm.licences import scan_licences
 from rebasket.llm.minhash import near_duplicates
 from rebasket.llm.mixing import mix, mixed_words
+from rebasket.llm.paragraphs import repeated_passages
 from rebasket.llm.sharding import shard_documents
 from rebasket.llm.tokens import count_tokens
 from rebasket.llm.toxicity import fit, held_out, score_toxicity
@@ -75,3 +76,8 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     file = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, folder, "documents"), file)
+
+
+@query
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
