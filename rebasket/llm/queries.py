@@ -15,6 +15,7 @@ from rebasket.llm.mixing import mix, mixed_words
 from rebasket.llm.paragraphs import repeated_passages
 from rebasket.llm.sharding import shard_documents
 from rebasket.llm.tokens import count_tokens
+from rebasket.llm.topk import top_k
 from rebasket.llm.toxicity import fit, held_out, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +52,29 @@ def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licences(table(spark, folder, "documents"))
 
 
+@query
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op6_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
