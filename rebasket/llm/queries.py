@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rebasket.llm.decontaminate import contamination_digest, find_contamination
 from rebasket.llm.licences import scan_licences
+from rebasket.llm.lm import score_texts
 from rebasket.llm.minhash import near_duplicates
 from rebasket.llm.mixing import mix, mixed_words
 from rebasket.llm.paragraphs import repeated_passages
@@ -52,6 +53,11 @@ def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licences(table(spark, folder, "documents"))
 
 
+@query
+def op5_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"))
+
+
 @query
 def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
