@@ -204,3 +204,24 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
         found.alias("component_id"),
         F.coalesce(found == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one_per_class(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without near duplicates of a kept one.
+
+    Of a class the row of the smallest doc_id stays; of several rows of that
+    doc_id one does, the same on every run unless they are alike in all columns'
+    text forms.  Rows without doc_id all stay.
+    """
+    found = hand_over(near_duplicates(docs, width, percent), "classes").read(docs.sparkSession)
+    gone = found.filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    left = docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    again = hand_over(repeated.select(F.col("doc_id").alias("again")), "repeated").read(docs.sparkSession)
+    if not again.limit(1).count():
+        return left
+    single = left.join(again, left["doc_id"].cast("long") == again["again"], "left_anti")
+    several = left.join(again, left["doc_id"].cast("long") == again["again"], "left_semi")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    first = several.groupBy("doc_id").agg(F.min_by(F.struct(*names), F.struct(F.xxhash64(*names), "text")).alias("r"))
+    return single.unionByName(first.select(*[F.col(f"r.`{c}`").alias(c) for c in docs.columns]))

@@ -177,6 +177,7 @@ def mix(
     most: int = MOST,
     block_words: int = BLOCK_WORDS,
     shard_slots: int = SHARD_SLOTS,
+    store_sizes: bool = True,
 ) -> Mix:
     """Draws blocks of ``block_words`` words from every source until its target is met.
 
@@ -190,13 +191,17 @@ def mix(
     the last slot is cut to meet the target to the word.  Slots and the
     documents' pieces are joined by source and block.
 
+    ``store_sizes`` writes the measured rows once; without, ``docs`` is read again,
+    which is better for rows that carry their texts.
+
     Null and empty texts and sources without words give nothing.  Repeated rows
     and doc_ids are separate rows.  Reruns give the same mix.  Only sizes per
     source and source counts per 1,024 shards pass the driver.
     """
     spark = docs.sparkSession
-    measured = hand_over(measure(spread_rows(docs), *keep, *(["doc_id"] if "doc_id" not in keep else [])), "sizes")
-    sized = measured.read(spark)
+    sized = measure(spread_rows(docs), *keep, *(["doc_id"] if "doc_id" not in keep else []))
+    if store_sizes:
+        sized = hand_over(sized, "sizes").read(spark)
     sums = {r[0]: r[1] for r in sized.groupBy("source").agg(F.sum("_size")).collect()}
     names = sorted((n for n in sums if n is not None)) + [None] * (None in sums)
     sizes = [sums[n] for n in names]
@@ -350,7 +355,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), "doc_id", "source", "text"
     )
     # The row itself travels with its place, so that rows alike in doc_id stay apart.
-    made = mix(rows.withColumn("body", F.col("text")), "row", "body", **settings)
+    made = mix(rows.withColumn("body", F.col("text")), "row", "body", store_sizes=False, **settings)
     taken = made.pieces.groupBy(F.col("source").alias("_source"), F.col("offset").alias("_offset")).agg(
         F.sort_array(F.collect_list(F.struct("pass", "first_word", "n_words"))).alias("pieces")
     )

@@ -132,6 +132,15 @@ def score_toxicity(docs: DataFrame, model: dict[str, np.ndarray], *keep: str, th
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def accepted(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is below ``threshold``."""
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col("text").alias("own"), "text")
+    kept = score_toxicity(rows, model, "row", "own", threshold=threshold).filter("predicted = 0")
+    columns = [F.col("own").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return kept.select(*columns)
+
+
 def held_out() -> Column:
     """Rows whose labels no model may see."""
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
