@@ -90,6 +90,7 @@ def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS) -> Vocabulary:
     """From a stored count table; the driver gets a histogram of counts and the head."""
     sums = counts.agg(F.sum("count"), F.count(F.lit(1))).first()
     total, distinct = int(sums[0] or 0), int(sums[1])
+    ends = counts.filter(F.octet_length("word") == 0).first()
     short = counts.filter(F.octet_length("word") <= HEAD_BYTES)
     histogram = sorted(((r[0], r[1]) for r in short.groupBy("count").count().collect()), reverse=True)
     least, held = 0, 0
@@ -99,7 +100,7 @@ def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS) -> Vocabulary:
         least, held = count, held + words
     least = least or (histogram[0][0] + 1 if histogram else 1)
     rows = short.filter(F.col("count") >= least).toArrow().to_pydict()
-    head = dict(zip(rows["word"], rows["count"]))
+    head = dict(zip(rows["word"], rows["count"])) | ({END_WORD: ends["count"]} if ends else {})
     ranked = sorted((w for w in head if w != END_WORD), key=lambda w: (-head[w], w))[: gru.WORDS - 2]
     codes = {w: k + 2 for k, w in enumerate(ranked)} | {END_WORD: gru.END}
     norm = total + 0.5 * (distinct + 1)
@@ -108,6 +109,8 @@ def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS) -> Vocabulary:
         if word in head:
             share[code] = (head[word] + 0.5) / norm
     share[gru.UNKNOWN] = max(1.0 - share.sum(), 0.5 / norm)
+    if END_WORD not in head:  # no training text: the end is one of the unknown tokens
+        share[gru.END] = share[gru.UNKNOWN] = share[gru.UNKNOWN] / 2
     with np.errstate(divide="ignore"):
         return Vocabulary(head, least, total, distinct, codes, np.log(share))
 

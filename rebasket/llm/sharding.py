@@ -230,12 +230,15 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def sharded_rows(docs: DataFrame, shards: int) -> DataFrame:
-    """All columns of ``docs`` with shard (int), and slot (long) in the shard; as ``shard_documents``."""
+    """All columns of ``docs`` with shard (int), and slot (long) in the shard; as ``shard_documents``.
+
+    Columns of these two names that ``docs`` already has are replaced.
+    """
     names = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     packed = measured(docs.select(F.struct(*names).alias("row"), "doc_id", "text"))
     rows = hand_over(packed.select("size", "text_crc32", "_id"), "metadata").read(docs.sparkSession)
     total = rows.agg(F.sum("size")).first()[0] or 0
     placed = build_tree(rows, total / shards, DIMENSIONS, "text_crc32", "_id").place(packed)
     numbered = with_offset(placed, "shard", F.lit(1), ["_id", "text_crc32", "size"], "slot")
-    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("shard", "slot")]
     return numbered.select(*columns, "shard", "slot")
