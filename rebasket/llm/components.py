@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rebasket.session import hand_over
 
 
-def _state(links: DataFrame) -> tuple[int, int]:
-    row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first()
-    return row[0], int(row[1] or 0)
+def _stored(links: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The links, written once, with their number and a sum over their hashes."""
+    seen = Observation()
+    hashed = F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))
+    watched = links.observe(seen, F.count(F.lit(1)).alias("rows"), hashed.alias("sum"))
+    stored = hand_over(watched, "links").read(links.sparkSession)
+    return stored, (seen.get["rows"], int(seen.get["sum"] or 0))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,10 +26,8 @@ def components(links: DataFrame) -> DataFrame:
     the logarithm of the longest path.  Only grouped minima are gathered per node,
     so a node with many links is summed up before it is shuffled.
     """
-    spark = links.sparkSession
-    edges = links.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
-    stored = hand_over(edges, "links").read(spark)
-    state = _state(stored)
+    edges = links.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+    stored, state = _stored(edges.distinct())
     while state[0]:
         # Larger neighbours go to the smallest neighbour (or the node itself).
         both = stored.select(F.col("low").alias("u"), F.col("high").alias("v")).unionByName(
@@ -33,22 +35,20 @@ def components(links: DataFrame) -> DataFrame:
         )
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select("m", "v")
-        star = large.select(F.col("m").alias("low"), F.col("v").alias("high")).filter("low <> high").distinct()
+        star = large.select(F.col("m").alias("low"), F.col("v").alias("high")).distinct()
         # Smaller neighbours and the node go to the smallest of them.
         small = star.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
         joined = star.join(small, star["high"] == small["u"])
         next_ = (
-            joined.select(F.col("m").alias("low"), F.col("low").alias("high"))
-            .unionByName(small.select(F.col("m").alias("low"), F.col("u").alias("high")))
+            joined.select(F.col("m").alias("low"), F.explode(F.array("low", "u")).alias("high"))
             .filter("low <> high")
             .distinct()
         )
-        stored = hand_over(next_, "links").read(spark)
-        after = _state(stored)
+        stored, after = _stored(next_)
         if after == state:
             break
         state = after
-    found = stored.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("component"))
+    # Every node but the roots is now high in exactly one link.
+    found = stored.select(F.col("high").alias("node"), F.col("low").alias("component"))
     roots = stored.select(F.col("low").alias("node")).distinct().withColumn("component", F.col("node"))
-    # Every node is high in one link by now, but for the roots.
-    return hand_over(found.unionByName(roots.join(found, "node", "left_anti")), "components").read(spark)
+    return found.unionByName(roots)

@@ -1,14 +1,15 @@
 """Near-duplicate classes from bucketed nodes, without pairs within a group.
 
 A node is a distinct text; nodes that share a bucket are candidates.  Verifying
-every pair of a bucket grows with the square of its size, so buckets are worked
-off in rounds.  In each round a few pivots of every bucket are compared with its
-other members, and verified links join classes.  A bucket whose members are in
-one class is finished, whatever its size: further links inside a class change
-nothing.  The others go on with the next pivots, more of them each round, until
-every member outside a bucket's largest class has been compared with all members
-of other classes.  So no link between different texts that share a bucket is
-lost, and a group of near copies costs about its size.
+every pair of a bucket grows with the square of its size, so only buckets of a
+few nodes are compared in full.  Larger ones are worked off in rounds: a few
+pivots of every bucket are compared with its other members, and verified links
+join classes.  A bucket whose members are in one class is finished, whatever its
+size: further links inside a class change nothing.  The others go on with the
+next pivots, more of them each round, until every member outside a bucket's
+largest class has been compared with all members of other classes.  So no link
+between different texts that share a bucket is lost, and a group of near copies
+costs about its size.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from rebasket.llm.components import components
 from rebasket.session import hand_over
 
-PIVOTS = (1, 4, 16, 64, 256, 1024, 4096, 16384)
-"""Pivots per bucket of the first, second ... round; the last number goes on."""
+FEW = 6
+"""Buckets of so many nodes are compared in full at once: at most 2.5 pairs a node."""
+PIVOTS = (1, 16, 128, 1024, 8192)
+"""Pivots per larger bucket of the first, second ... round; the last number goes on."""
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
@@ -34,23 +37,21 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
 def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], more: DataFrame | None = None) -> DataFrame:
     """node and component (the smallest node of its class) of every linked node.
 
-    ``members`` are rows (bucket, node) of stored shared buckets.  ``verify``
-    takes distinct candidate pairs (a, b) and returns those that are linked.
-    ``more`` are links (a, b) that hold without verification.
+    ``members`` are distinct rows (bucket, node) of stored shared buckets.
+    ``verify`` takes distinct candidate pairs (a, b) and returns those that are
+    linked.  ``more`` are links (a, b) that hold without verification.
     """
     spark = members.sparkSession
-    classes = components(more.select("a", "b")) if more is not None else None
-    done: DataFrame | None = None
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
+    sized = hand_over(members.join(sizes, "bucket"), "buckets").read(spark)
+    large = sized.filter(F.col("rows") > FEW).select("bucket", "node")
+    links, classes, done = _pairs_of_few(sized), None, None
     for number in range(10_000):
-        pivots = PIVOTS[min(number, len(PIVOTS) - 1)]
-        open_ = _open_members(members, classes)
-        if classes is not None:
+        open_ = large.withColumn("class", F.col("node")) if classes is None else _open_members(large, classes)
+        if number:
             open_ = hand_over(open_, "open").read(spark)
-        if number and not open_.limit(1).count():
-            break
-        chosen = _pivots(open_, done, pivots)
-        chosen = hand_over(chosen, "pivots").read(spark)
-        if not chosen.limit(1).count():
+        chosen = hand_over(_pivots(open_, done, PIVOTS[min(number, len(PIVOTS) - 1)]), "pivots").read(spark)
+        if number and chosen.isEmpty():
             break
         tried = chosen.select("bucket", "node")
         done = tried if done is None else done.unionByName(tried)
@@ -59,20 +60,39 @@ def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], m
             .join(open_, "bucket")
             .filter("of <> class")
             .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b"))
-            .distinct()
         )
-        found = hand_over(verify(pairs).select("a", "b"), "verified").read(spark)
-        known = found
-        if classes is not None:
-            known = known.unionByName(classes.select(F.col("component").alias("a"), F.col("node").alias("b")))
-        classes = components(known)
-    return classes if classes is not None else members.select("node", F.col("node").alias("component"))
+        if not number:
+            pairs = pairs.unionByName(links)
+        found = hand_over(verify(pairs.distinct()).select("a", "b"), "verified").read(spark)
+        if classes is None:
+            known = found if more is None else found.unionByName(more.select("a", "b"))
+            classes = hand_over(components(known), "classes").read(spark)
+        elif not found.isEmpty():
+            classes = hand_over(_joined_classes(classes, found), "classes").read(spark)
+    return classes
+
+
+def _pairs_of_few(sized: DataFrame) -> DataFrame:
+    few = sized.filter(F.col("rows") <= FEW)
+    left, right = few.select("bucket", F.col("node").alias("a")), few.select("bucket", F.col("node").alias("b"))
+    return left.join(right, "bucket").filter("a < b").select("a", "b")
+
+
+def _joined_classes(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` after more links, which only concern the classes that they connect."""
+    of_a = classes.select(F.col("node").alias("a"), F.col("component").alias("class_a"))
+    of_b = classes.select(F.col("node").alias("b"), F.col("component").alias("class_b"))
+    between = found.join(of_a, "a", "left").join(of_b, "b", "left")
+    merged = hand_over(
+        components(between.select(F.coalesce("class_a", "a").alias("a"), F.coalesce("class_b", "b").alias("b"))), "merged"
+    ).read(classes.sparkSession)
+    moved = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = classes.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return old.unionByName(merged.join(classes, "node", "left_anti"))
 
 
-def _open_members(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+def _open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members with their class, of the buckets that still hold several classes."""
-    if classes is None:
-        return members.select("bucket", "node", F.col("node").alias("class"))
     labelled = members.join(classes, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("class")
     )
@@ -82,12 +102,10 @@ def _open_members(members: DataFrame, classes: DataFrame | None) -> DataFrame:
 
 def _pivots(open_: DataFrame, done: DataFrame | None, pivots: int) -> DataFrame:
     """The next ``pivots`` members of every bucket outside its largest class."""
-    if pivots == 1:
+    if done is None:
         return open_.groupBy("bucket").agg(F.min_by("class", "node").alias("class"), F.min("node").alias("node"))
     sizes = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("rows"))
     base = sizes.groupBy("bucket").agg(F.max_by("class", F.struct("rows", "class")).alias("base"))
-    rest = open_.join(base, "bucket").filter("class <> base").drop("base")
-    if done is not None:
-        rest = rest.join(done, ["bucket", "node"], "left_anti")
+    rest = open_.join(base, "bucket").filter("class <> base").drop("base").join(done, ["bucket", "node"], "left_anti")
     order = Window.partitionBy("bucket").orderBy("node")
     return rest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots).drop("rank")

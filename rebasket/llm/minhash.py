@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
     classes = link_classes(
         members,
         lambda pairs: _verify(pairs, reps, texts, width, percent),
-        more if more.limit(1).count() else None,
+        None if more.isEmpty() else more,
     )
     component = (
         reps.select("set_key", "node")
