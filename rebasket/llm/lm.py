@@ -9,11 +9,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rebasket.llm import gru
-from rebasket.llm.text import mixed, numbered, slices, spaced_words, with_bytes, word_hashes
+from rebasket.llm.text import numbered, slices, spaced_words, with_bytes
 from rebasket.session import hand_over
 
 HEAD_WORDS = 200_000
@@ -129,19 +130,17 @@ def _segments(docs: DataFrame, known: Vocabulary) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(known.codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = sent.value
         for part in slices(batches):
-            coded, flat, starts, distinct = _coded([spaced_words(t) for t in part.column("text").to_pylist()], sent.value)
-            hashes = word_hashes(distinct)[flat] if len(flat) else np.zeros(0, np.uint64)
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes, dtype=np.uint64)))
             orders, tokens = [], []
-            for text, begin in zip(coded, starts.tolist()):
-                for at in range(0, len(text), SEGMENT):
-                    own = text[at : at + SEGMENT]
-                    stop = min(begin + at + len(own), len(sums) - 1)
-                    order = mixed(sums[stop : stop + 1] - sums[begin + at : begin + at + 1] + np.uint64(at + len(own)))[0]
-                    if order % np.uint64(TRAIN_SHARE) == 0:
+            for text in part.column("text").to_pylist():
+                words = [*spaced_words(text), END_WORD]
+                for at in range(0, len(words), SEGMENT):
+                    own = words[at : at + SEGMENT]
+                    order = xxhash.xxh3_64_intdigest(b" ".join(own))
+                    if order % TRAIN_SHARE == 0:
                         orders.append(order)
-                        tokens.append(own.tobytes())
+                        tokens.append(np.fromiter((codes.get(w, gru.UNKNOWN) for w in own), np.int16, len(own)).tobytes())
             order = (np.array(orders, np.uint64) >> np.uint64(2)).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"order": order, "tokens": pa.array(tokens, pa.binary())})
 
