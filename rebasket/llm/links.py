@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebasket.llm.components import components
@@ -34,18 +34,24 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
     return buckets.join(several.filter("least < most").select("bucket"), "bucket").distinct()
 
 
-def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], more: DataFrame | None = None) -> DataFrame:
+def link_classes(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    more: DataFrame | None = None,
+    percent: int = 0,
+) -> DataFrame:
     """node and component (the smallest node of its class) of every linked node.
 
-    ``members`` are distinct rows (bucket, node) of stored shared buckets.
+    ``members`` are distinct rows (bucket, node, size) of stored shared buckets;
+    sizes further apart than ``percent`` exclude a link and are not verified.
     ``verify`` takes distinct candidate pairs (a, b) and returns those that are
     linked.  ``more`` are links (a, b) that hold without verification.
     """
     spark = members.sparkSession
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     sized = hand_over(members.join(sizes, "bucket"), "buckets").read(spark)
-    large = sized.filter(F.col("rows") > FEW).select("bucket", "node")
-    links, classes, done = _pairs_of_few(sized), None, None
+    large = sized.filter(F.col("rows") > FEW).drop("rows")
+    links, classes, done = _pairs_of_few(sized, percent), None, None
     for number in range(10_000):
         open_ = large.withColumn("class", F.col("node")) if classes is None else _open_members(large, classes)
         if number:
@@ -56,9 +62,9 @@ def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], m
         tried = chosen.select("bucket", "node")
         done = tried if done is None else done.unionByName(tried)
         pairs = (
-            chosen.select("bucket", F.col("node").alias("p"), F.col("class").alias("of"))
+            chosen.select("bucket", F.col("node").alias("p"), F.col("class").alias("of"), F.col("size").alias("p_size"))
             .join(open_, "bucket")
-            .filter("of <> class")
+            .filter((F.col("of") != F.col("class")) & _close("p_size", "size", percent))
             .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b"))
         )
         if not number:
@@ -72,10 +78,15 @@ def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], m
     return classes
 
 
-def _pairs_of_few(sized: DataFrame) -> DataFrame:
+def _close(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _pairs_of_few(sized: DataFrame, percent: int) -> DataFrame:
     few = sized.filter(F.col("rows") <= FEW)
-    left, right = few.select("bucket", F.col("node").alias("a")), few.select("bucket", F.col("node").alias("b"))
-    return left.join(right, "bucket").filter("a < b").select("a", "b")
+    left = few.select("bucket", F.col("node").alias("a"), F.col("size").alias("a_size"))
+    right = few.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"))
+    return left.join(right, "bucket").filter((F.col("a") < F.col("b")) & _close("a_size", "b_size", percent)).select("a", "b")
 
 
 def _joined_classes(classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -94,7 +105,7 @@ def _joined_classes(classes: DataFrame, found: DataFrame) -> DataFrame:
 def _open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members with their class, of the buckets that still hold several classes."""
     labelled = members.join(classes, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("class")
+        "bucket", "node", "size", F.coalesce("component", "node").alias("class")
     )
     several = labelled.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     return labelled.join(several.filter("least < most").select("bucket"), "bucket")
@@ -103,7 +114,8 @@ def _open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _pivots(open_: DataFrame, done: DataFrame | None, pivots: int) -> DataFrame:
     """The next ``pivots`` members of every bucket outside its largest class."""
     if done is None:
-        return open_.groupBy("bucket").agg(F.min_by("class", "node").alias("class"), F.min("node").alias("node"))
+        least = F.min_by(F.struct("class", "size"), "node").alias("of")
+        return open_.groupBy("bucket").agg(least, F.min("node").alias("node")).select("bucket", "node", "of.class", "of.size")
     sizes = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("rows"))
     base = sizes.groupBy("bucket").agg(F.max_by("class", F.struct("rows", "class")).alias("base"))
     rest = open_.join(base, "bucket").filter("class <> base").drop("base").join(done, ["bucket", "node"], "left_anti")

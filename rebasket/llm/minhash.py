@@ -180,6 +180,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
     band = 2 * BAND_REGISTERS
     buckets = reps.select(
         "node",
+        F.col("n_shingles").alias("size"),
         F.explode(
             F.array(*[F.xxhash64(F.lit(k), F.substring("registers", k * band + 1, band)) for k in range(BANDS)])
         ).alias("bucket"),
@@ -190,6 +191,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
         members,
         lambda pairs: _verify(pairs, reps, texts, width, percent),
         None if more.isEmpty() else more,
+        percent,
     )
     component = (
         reps.select("set_key", "node")

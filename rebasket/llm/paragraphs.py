@@ -25,19 +25,17 @@ GAP_WORDS = 8
 """Words between repeated paragraphs that a passage bridges (less than a paragraph)."""
 SHINGLE = 5
 PERCENT = 80
-MISSED = 0.002
+MISSED = 0.005
 """Share of pairs at the threshold that the bands may miss; closer pairs are missed less."""
+REGISTERS = 3
+"""Minima that make up a band: paragraphs that share a quotation only seldom agree in three."""
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BOUNDARY = (b".", b"!", b"?")
 
 
-def tuned_bands(percent: int = PERCENT, missed: float = MISSED, registers: int = 1) -> int:
-    """The fewest bands of so many registers that miss at most ``missed`` at the threshold.
-
-    Five-word shingles of unrelated paragraphs hardly ever agree, so one register
-    a band already is selective and gives the highest recall per stored row.
-    """
+def tuned_bands(percent: int = PERCENT, missed: float = MISSED, registers: int = REGISTERS) -> int:
+    """The fewest bands of so many registers that miss at most ``missed`` at the threshold."""
     return int(np.ceil(np.log(missed) / np.log(1 - (percent / 100) ** registers)))
 
 
@@ -107,9 +105,11 @@ def signatures(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, bands: in
     shingle = rolled[np.arange(int(sizes.sum())) - np.repeat(cuts - begin, sizes)]
     buckets = np.empty((len(begin), bands), np.int64)
     for k in range(bands):
-        odd = mixed(np.array([2 * k + 11], np.uint64)) | np.uint64(1)
-        least = np.minimum.reduceat(mixed(shingle * odd), cuts)
-        buckets[:, k] = mixed(least + np.uint64(k + 1)).view(np.int64)
+        band = np.full(len(begin), k + 1, np.uint64)
+        for r in range(k * REGISTERS, (k + 1) * REGISTERS):
+            odd = mixed(np.array([2 * r + 11], np.uint64)) | np.uint64(1)
+            band = mixed(band * _STEP + np.minimum.reduceat(shingle * odd + odd, cuts))
+        buckets[:, k] = band.view(np.int64)
     return node.view(np.int64), buckets
 
 
@@ -131,25 +131,25 @@ def _sightings(docs: DataFrame, bands: int) -> DataFrame:
             of_node = (mixed(node.view(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             of_doc = (mixed(ids.view(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             for k in range(bands):
-                yield pa.RecordBatch.from_pydict({"place": buckets[:, k], "kind": np.ones(len(node), np.int8), "seen": of_node})
-            yield pa.RecordBatch.from_pydict({"place": node, "kind": np.zeros(len(node), np.int8), "seen": of_doc})
+                yield pa.RecordBatch.from_pydict({"place": buckets[:, k], "seen": of_node})
+            yield pa.RecordBatch.from_pydict({"place": node, "seen": of_doc})
 
-    seen = with_bytes(docs, "doc_id").mapInArrow(run, "place long, kind tinyint, seen int")
-    grouped = seen.groupBy("place", "kind").agg(F.min("seen").alias("least"), F.max("seen").alias("most"))
-    return grouped.filter("least < most").select("place", "kind")
+    seen = with_bytes(docs, "doc_id").mapInArrow(run, "place long, seen int")
+    grouped = seen.groupBy("place").agg(F.min("seen").alias("least"), F.max("seen").alias("most"))
+    return grouped.filter("least < most").select(F.col("place").alias("hash"))
 
 
-def _occurrences(docs: DataFrame, copied: Membership, shared: Membership, bands: int) -> DataFrame:
+def _occurrences(docs: DataFrame, known: Membership, bands: int) -> DataFrame:
     """The paragraphs that may be repeated; with their words where a bucket is shared."""
-    sent = docs.sparkSession.sparkContext.broadcast((copied, shared))
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        copies, shares = sent.value
+        places = sent.value
         for part in slices(batches):
             text, begin, end, node, buckets, distinct, codes, starts = _found(part, bands)
-            hit = shares.holds(buckets.reshape(-1).view(np.uint64)).reshape(buckets.shape)
+            hit = places.holds(buckets.reshape(-1).view(np.uint64)).reshape(buckets.shape)
             near = hit.any(axis=1)
-            kept = np.flatnonzero(near | copies.holds(node.view(np.uint64)))
+            kept = np.flatnonzero(near | places.holds(node.view(np.uint64)))
             words = [
                 b" ".join([distinct[c] for c in codes[begin[k] : end[k]]]) if near[k] else None for k in kept.tolist()
             ]
@@ -209,23 +209,20 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     spark, bands = docs.sparkSession, tuned_bands()
     ids = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    places = hand_over(_sightings(ids, bands), "places").read(spark)
-    copied = places.filter("kind = 0").select(F.col("place").alias("hash"))
-    shared = places.filter("kind = 1").select(F.col("place").alias("hash"))
-    filters = [membership(p, p.count()) for p in (copied, shared)]
-    stored = hand_over(_occurrences(ids, *filters, bands), "occurrences").read(spark)
+    shared = hand_over(_sightings(ids, bands), "places").read(spark)
+    stored = hand_over(_occurrences(ids, membership(shared, shared.count()), bands), "occurrences").read(spark)
     near = stored.filter(F.col("text").isNotNull())
     members = hand_over(
-        near.select("node", F.explode("buckets").alias("bucket"))
+        near.select("node", (F.col("n_words") - (SHINGLE - 1)).alias("size"), F.explode("buckets").alias("bucket"))
         .join(shared.withColumnRenamed("hash", "bucket"), "bucket")
-        .select("bucket", "node")
-        .distinct(),
+        .groupBy("bucket", "node")
+        .agg(F.max("size").alias("size")),
         "members",
     ).read(spark)
     linked = members.select("node").distinct()
     texts = near.select("node", "text").join(linked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     texts = hand_over(texts, "texts").read(spark)
-    classes = link_classes(members, lambda pairs: _verify(pairs, texts))
+    classes = link_classes(members, lambda pairs: _verify(pairs, texts), percent=PERCENT)
     placed = (
         stored.select("doc_id", "first_word", "n_words", "node")
         .join(classes, "node", "left")

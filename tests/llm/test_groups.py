@@ -59,7 +59,7 @@ def test_link_rounds_lose_no_link_of_a_bucket(spark, monkeypatch, few):
     buckets = {b: rng.sample(range(60), rng.randint(2, 25)) for b in range(4)}
     rows = [(b, n) for b, own in buckets.items() for n in own]
     got = links.link_classes(
-        spark.createDataFrame(rows, "bucket long, node long"), lambda pairs: pairs.filter("b = a + 1")
+        spark.createDataFrame(rows, "bucket long, node long").withColumn("size", F.lit(1)), lambda pairs: pairs.filter("b = a + 1")
     )
     sets = {n: set() for own in buckets.values() for n in own}
     parent = {n: n for n in sets}
@@ -264,8 +264,8 @@ def test_long_shared_passages_are_found_wherever_they_stand(spark):
 
 
 def test_bands_keep_the_recall_they_are_tuned_for():
-    bands = paragraphs.tuned_bands(80, 0.002)
-    assert (1 - 0.8) ** bands <= 0.002 < (1 - 0.8) ** (bands - 1)
+    bands = paragraphs.tuned_bands(80, 0.002, 3)
+    assert (1 - 0.8**3) ** bands <= 0.002 < (1 - 0.8**3) ** (bands - 1)
 
 
 # Shards
