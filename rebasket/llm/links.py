@@ -39,11 +39,14 @@ def link_classes(
     verify: Callable[[DataFrame], DataFrame],
     more: DataFrame | None = None,
     percent: int = 0,
+    differing: int | None = None,
 ) -> DataFrame:
     """node and component (the smallest node of its class) of every linked node.
 
     ``members`` are distinct rows (bucket, node, size) of stored shared buckets;
-    sizes further apart than ``percent`` exclude a link and are not verified.
+    sizes further apart than ``percent`` exclude a link and are not verified, and
+    neither are nodes that differ in more than ``differing`` of the bits in
+    ``bits0`` and ``bits1``, which ``members`` then has.
     ``verify`` takes distinct candidate pairs (a, b) and returns those that are
     linked.  ``more`` are links (a, b) that hold without verification.
     """
@@ -51,7 +54,27 @@ def link_classes(
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     sized = hand_over(members.join(sizes, "bucket"), "buckets").read(spark)
     large = sized.filter(F.col("rows") > FEW).drop("rows")
-    links, classes, done = _pairs_of_few(sized, percent), None, None
+    facts = ["size"] if differing is None else ["size", "bits0", "bits1"]
+
+    def renamed(frame: DataFrame, prefix: str) -> DataFrame:
+        return frame.withColumnsRenamed({c: f"{prefix}_{c}" for c in ("node", "class", *facts)})
+
+    def close(other: str) -> Column:
+        """Whether the facts of p and of the other side allow a link."""
+        sizes = 100 * F.least("p_size", f"{other}_size") >= percent * F.greatest("p_size", f"{other}_size")
+        if differing is None:
+            return sizes
+        unlike = [F.bit_count(F.col(f"p_{b}").bitwiseXOR(F.col(f"{other}_{b}"))) for b in ("bits0", "bits1")]
+        return sizes & (unlike[0] + unlike[1] <= differing)
+
+    few = sized.filter(F.col("rows") <= FEW).drop("rows")
+    links = (
+        renamed(few, "p")
+        .join(renamed(few, "q"), "bucket")
+        .filter((F.col("p_node") < F.col("q_node")) & close("q"))
+        .select(F.col("p_node").alias("a"), F.col("q_node").alias("b"))
+    )
+    classes, done = None, None
     for number in range(10_000):
         open_ = large.withColumn("class", F.col("node")) if classes is None else _open_members(large, classes)
         if number:
@@ -62,10 +85,10 @@ def link_classes(
         tried = chosen.select("bucket", "node")
         done = tried if done is None else done.unionByName(tried)
         pairs = (
-            chosen.select("bucket", F.col("node").alias("p"), F.col("class").alias("of"), F.col("size").alias("p_size"))
-            .join(open_, "bucket")
-            .filter((F.col("of") != F.col("class")) & _close("p_size", "size", percent))
-            .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b"))
+            renamed(chosen, "p")
+            .join(renamed(open_, "q"), "bucket")
+            .filter((F.col("p_class") != F.col("q_class")) & close("q"))
+            .select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b"))
         )
         if not number:
             pairs = pairs.unionByName(links)
@@ -78,17 +101,6 @@ def link_classes(
     return classes
 
 
-def _close(a: str, b: str, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-
-def _pairs_of_few(sized: DataFrame, percent: int) -> DataFrame:
-    few = sized.filter(F.col("rows") <= FEW)
-    left = few.select("bucket", F.col("node").alias("a"), F.col("size").alias("a_size"))
-    right = few.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"))
-    return left.join(right, "bucket").filter((F.col("a") < F.col("b")) & _close("a_size", "b_size", percent)).select("a", "b")
-
-
 def _joined_classes(classes: DataFrame, found: DataFrame) -> DataFrame:
     """``classes`` after more links, which only concern the classes that they connect."""
     of_a = classes.select(F.col("node").alias("a"), F.col("component").alias("class_a"))
@@ -105,7 +117,7 @@ def _joined_classes(classes: DataFrame, found: DataFrame) -> DataFrame:
 def _open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members with their class, of the buckets that still hold several classes."""
     labelled = members.join(classes, "node", "left").select(
-        "bucket", "node", "size", F.coalesce("component", "node").alias("class")
+        *members.columns, F.coalesce("component", "node").alias("class")
     )
     several = labelled.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     return labelled.join(several.filter("least < most").select("bucket"), "bucket")
@@ -114,8 +126,7 @@ def _open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _pivots(open_: DataFrame, done: DataFrame | None, pivots: int) -> DataFrame:
     """The next ``pivots`` members of every bucket outside its largest class."""
     if done is None:
-        least = F.min_by(F.struct("class", "size"), "node").alias("of")
-        return open_.groupBy("bucket").agg(least, F.min("node").alias("node")).select("bucket", "node", "of.class", "of.size")
+        return open_.groupBy("bucket").agg(F.min_by(F.struct(*open_.columns), "node").alias("of")).select("of.*")
     sizes = open_.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("rows"))
     base = sizes.groupBy("bucket").agg(F.max_by("class", F.struct("rows", "class")).alias("base"))
     rest = open_.join(base, "bucket").filter("class <> base").drop("base").join(done, ["bucket", "node"], "left_anti")

@@ -213,7 +213,7 @@ def test_joint_estimate_is_near_the_truth():
             cut = int(2000 * share)
             half = (2000 - cut) // 2
             a, b = both[: cut + half], np.concatenate((both[:cut], both[cut + half :]))
-            regs = [np.frombuffer(r, ">u2").astype(np.int32)[None, :] for r in minhash.registers([a, b])]
+            regs = [np.frombuffer(r, ">u2").astype(np.int32)[None, :] for r in minhash.registers([a, b])[0]]
             found.append(minhash.joint_estimate(*regs, np.array([len(a)]), np.array([len(b)]))[0])
         assert abs(np.mean(found) - share) < 0.03
 
