@@ -99,3 +99,14 @@ def record_errors(schema: StructType) -> Column:
     """An array of ``{field, message}``, one entry per violated field."""
     errors = [_error(field, schema[field.name].dataType) for field in RECORD_FIELDS]
     return F.array_compact(F.array(*errors))
+
+
+def _type_error(field: RecordField, kind: DataType) -> Column:
+    fits, noun = _well_typed(field, kind), "whole number" if field.whole else "number"
+    wrong = F.lit(False) if fits is None else F.col(field.name).isNotNull() & ~fits
+    return F.when(wrong, F.struct(F.lit(field.name).alias("field"), F.lit(f"must be a {noun}").alias("message")))
+
+
+def type_errors(schema: StructType) -> Column:
+    """Like ``record_errors`` for values of the wrong kind only; absent values and bounds are no errors."""
+    return F.array_compact(F.array(*[_type_error(f, schema[f.name].dataType) for f in RECORD_FIELDS]))

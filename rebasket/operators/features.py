@@ -32,9 +32,9 @@ def product_features(joined: DataFrame) -> DataFrame:
     )
 
 
-def hot_behaviour_keys(joined: DataFrame) -> HotKeys:
+def hot_behaviour_keys(joined: DataFrame, hot_rows: int | None = None) -> HotKeys:
     """Customers and products that own a large share of the lines."""
-    return find_hot_keys(joined, ["user_id"], ["product_id"])
+    return find_hot_keys(joined, ["user_id"], ["product_id"], min_rows=hot_rows)
 
 
 def with_user_features(joined: DataFrame, users: DataFrame, hot: HotKeys) -> DataFrame:
@@ -55,14 +55,16 @@ def project_present(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select([c for c in wanted if c in df.columns])
 
 
-def build_features(joined: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
+def build_features(
+    joined: DataFrame, config: FeatureConfig = FeatureConfig(), hot_rows: int | None = None
+) -> DataFrame:
     """The feature table.
 
     ``joined`` is read several times, but only once for more than three columns,
     so it should be a stored table.  The reorder rate includes the row's own label and
     both order sets: that is the definition, and it makes the rate optimistic.
     """
-    hot = hot_behaviour_keys(joined)
+    hot = hot_behaviour_keys(joined, hot_rows)
     wide = with_user_features(joined, user_features(joined), hot)
     wide = with_product_features(wide, product_features(joined), hot)
     return project_present(fill_numeric(wide), config.output_columns)

@@ -44,7 +44,11 @@ def default_days(df: DataFrame) -> DataFrame:
 
 
 def build_joined(
-    orders: DataFrame, prior: DataFrame, train: DataFrame, products: DataFrame
+    orders: DataFrame,
+    prior: DataFrame,
+    train: DataFrame,
+    products: DataFrame,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The joined table, one row per (order_id, product_id).
 
@@ -56,13 +60,16 @@ def build_joined(
 
     Without a hot order the lines are shuffled by order once, which serves both
     the deduplication and the join.  With one, they are deduplicated by order
-    and product, and the rows of hot orders and products are salted.
+    and product, and the rows of hot orders and products are salted.  ``hot_rows``
+    sets from how many rows on a key is hot.
     """
     by_order, by_product = ["order_id"], ["product_id"]
     lines = union_lines(
         prior.withColumn("_source", F.lit(0)), train.withColumn("_source", F.lit(1))
     )
-    hot = find_hot_keys(lines, by_order, by_product)
+    # A line without order joins nothing; many of them are no hot key.
+    lines = lines.filter(F.col("order_id").isNotNull())
+    hot = find_hot_keys(lines, by_order, by_product, min_rows=hot_rows)
     if not hot.of(by_order):
         lines = lines.repartition("order_id")
     position = [c for c in ("_source", "add_to_cart_order") if c in lines.columns]

@@ -18,7 +18,7 @@ from rebasket.config import FeatureConfig, ModelConfig, TrainingConfig
 from rebasket.functions.rules import MODEL_CONFIDENCE, MODEL_REASON, class_label
 from rebasket.operators.sampling import cap_rows, stratified_split
 from rebasket.operators.statistics import accuracy, medians, modes, roc_auc, text_modes
-from rebasket.session import shared_folder, spread_rows
+from rebasket.session import hand_over, shared_folder, spread_rows
 
 
 class MissingColumn(ValueError):
@@ -53,15 +53,19 @@ def imputer(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -
     texts = [c for c in categorical if c not in numbers]
     found = []
     if numbers:
-        found += modes(df, numbers).collect()
+        # One call per column: columns of different types keep their own.
+        found += [row for c in numbers for row in modes(df, [c]).collect()]
     if texts:
         found += text_modes(df, texts).collect()
     for row in found:
         value = str(row["mode"]).replace("\\", "\\\\").replace("'", "\\'")
+        # The fill value becomes text the way the data does: through the column's type.
+        kind = df.schema[row["column"]].dataType.simpleString()
         filled.append(
-            f"coalesce(CAST(`{row['column']}` AS STRING), '{value}') AS `{row['column']}_filled`"
+            f"coalesce(CAST(`{row['column']}` AS STRING), CAST(CAST('{value}' AS {kind}) AS STRING)) "
+            f"AS `{row['column']}_filled`"
         )
-    return SQLTransformer(statement=f"SELECT *, {', '.join(sorted(filled))} FROM __THIS__")
+    return SQLTransformer(statement=f"SELECT {', '.join(['*', *sorted(filled)])} FROM __THIS__")
 
 
 def filled_columns(stage: SQLTransformer, columns: Sequence[str]) -> list[str]:
@@ -81,21 +85,51 @@ def encoder(categories: Sequence[str]) -> list:
     ]
 
 
-def classifier(config: ModelConfig, label: str) -> RandomForestClassifier:
+def _share(value: object) -> str:
+    """How many features a tree node looks at, in Spark's terms."""
+    if value is None:
+        return "all"
+    return value if isinstance(value, str) else str(value)
+
+
+# What each accepted parameter sets in Spark, and how its value is read.
+FOREST_PARAMETERS = {
+    "n_estimators": ("numTrees", int),
+    "max_depth": ("maxDepth", lambda depth: 30 if depth is None else int(depth)),
+    "random_state": ("seed", int),
+    "min_samples_leaf": ("minInstancesPerNode", int),
+    "min_impurity_decrease": ("minInfoGain", float),
+    "max_features": ("featureSubsetStrategy", _share),
+    "max_samples": ("subsamplingRate", lambda share: 1.0 if share is None else float(share)),
+    "criterion": ("impurity", str),
+    "bootstrap": ("bootstrap", bool),
+}
+
+
+def classifier(config: ModelConfig, label: str, tree_memory_mb: int = 1024) -> RandomForestClassifier:
+    """The forest with every configured parameter; one without an equivalent is an error.
+
+    Nodes of one level are grown together as far as their statistics fit in
+    ``tree_memory_mb`` per task.
+    """
     if config.kind != "random_forest":
         raise ValueError(f"unsupported model type: {config.kind}")
-    params = config.params
+    unknown = sorted(set(config.params) - set(FOREST_PARAMETERS))
+    if unknown:
+        raise ValueError(f"model parameters without an equivalent: {', '.join(unknown)}")
+    given = {"n_estimators": 100, "max_depth": 10, "random_state": 42} | dict(config.params)
+    settings = {}
+    for name, value in given.items():
+        spark_name, read = FOREST_PARAMETERS[name]
+        settings[spark_name] = read(value)
     return RandomForestClassifier(
         labelCol=label,
         featuresCol="features",
-        numTrees=params.get("n_estimators", 100),
-        maxDepth=params.get("max_depth", 10),
-        seed=params.get("random_state", 42),
-        # Nodes of one level are grown together as far as their statistics fit.
-        maxMemoryInMB=1024,
+        maxMemoryInMB=tree_memory_mb,
         # Rows remember their node in every tree instead of walking all trees
         # once per level, which halves the time at depth 10.
         cacheNodeIds=True,
+        **settings,
     )
 
 
@@ -193,8 +227,11 @@ def train(
     ``df`` is read several times and should be a stored table.
     """
     shared_folder(df.sparkSession)  # where the forest cuts its lineage
-    rows = training_rows(df, features, training)
+    # Stored once: the fit reads the training part many times.
+    split = hand_over(training_rows(df, features, training), "split", partition_by="in_test")
+    rows = split.read(df.sparkSession)
     fitted = fit_model(rows.filter(~F.col("in_test")), features, model)
-    scored = predict(fitted, spread_rows(rows.filter("in_test"))).persist()
+    tested = predict(fitted, spread_rows(rows.filter("in_test")))
+    scored = hand_over(tested, "validation").read(df.sparkSession)
     metrics = evaluate_predictions(scored, features.label)
     return Trained(fitted, scored, metrics)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebasket.functions.validation import is_valid, record_errors, typed
+from rebasket.functions.validation import is_valid, record_errors, type_errors, typed
 from rebasket.schemas import RECORD_FIELDS
 
 
@@ -55,3 +55,13 @@ def split_valid(records: DataFrame, strict: bool = False) -> tuple[DataFrame, Da
         if not records.take(1):
             raise InvalidRecords("no records")
     return as_declared(valid_records(records)), bad
+
+
+def split_scorable(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records a model can score, in their declared types, and the others with ``errors``.
+
+    A model fills absent values and takes any category, so only a value of the
+    wrong kind keeps a record out.
+    """
+    checked = records.withColumn("errors", type_errors(records.schema))
+    return as_declared(checked.filter("size(errors) = 0").drop("errors")), checked.filter("size(errors) > 0")

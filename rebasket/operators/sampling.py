@@ -64,7 +64,7 @@ def _bucket_reached(buckets: DataFrame, wanted: dict) -> dict:
 
 
 def _last_hashes(hashed: DataFrame, buckets: DataFrame, wanted: dict) -> dict:
-    """Per class, the hash of the ``wanted``-th row in hash order."""
+    """Per class, the hash of the ``wanted``-th row, and how many of its rows to take (None: all)."""
     found, prefix, digits = _bucket_reached(buckets, wanted), dict.fromkeys(wanted, ""), 0
     while True:
         digits += BUCKET_DIGITS
@@ -77,17 +77,12 @@ def _last_hashes(hashed: DataFrame, buckets: DataFrame, wanted: dict) -> dict:
         next_digits = F.substring("_hash", digits + 1, BUCKET_DIGITS).alias("_bucket")
         found = _bucket_reached(_count_buckets(inside, next_digits), offset)
     by_hash = inside.groupBy("_class", "_hash").agg(F.count("*").alias("n"))
-    last = {}
-    for label, (value, rows, rest) in _bucket_reached(
-        by_hash.withColumnRenamed("_hash", "_bucket"), offset
-    ).items():
-        if rest != rows:
-            raise ValueError(
-                f"the row key is not unique: {rows} rows share the hash at the cut; "
-                "add columns to the key"
-            )
-        last[label] = value
-    return last
+    return {
+        label: (value, rest if rest != rows else None)
+        for label, (value, rows, rest) in _bucket_reached(
+            by_hash.withColumnRenamed("_hash", "_bucket"), offset
+        ).items()
+    }
 
 
 def _count_buckets(hashed: DataFrame, bucket: Column) -> DataFrame:
@@ -96,8 +91,12 @@ def _count_buckets(hashed: DataFrame, bucket: Column) -> DataFrame:
 
 def _take_per_class(
     df: DataFrame, group: Column, key: Sequence[str], seed: int, choose
-) -> Column:
-    """A boolean column: whether the row is among those ``choose`` wants per class."""
+) -> DataFrame:
+    """``df`` with ``_taken``: whether the row is among those ``choose`` wants per class.
+
+    Rows of equal keys at the cut are ordered by a hash of all their columns, and
+    rows alike in all columns are exchangeable: the needed number is taken.
+    """
     hashed = df.select(group.alias("_class"), row_hash(seed, key).alias("_hash"))
     first_digits = F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket")
     buckets = _count_buckets(hashed, first_digits).persist()
@@ -108,15 +107,27 @@ def _take_per_class(
         sizes = {row["_class"]: row["n"] for row in totals}
         wanted = choose(sizes)
         partly = {c: n for c, n in wanted.items() if 0 < n < sizes[c]}
-        last = {c: _ALL for c, n in wanted.items() if n >= sizes[c]}
+        last = {c: (_ALL, None) for c, n in wanted.items() if n >= sizes[c]}
         if partly:
             last.update(_last_hashes(hashed, buckets, partly))
     finally:
         buckets.unpersist()
-    bound = F.lit(_NONE)
-    for label, value in last.items():
-        bound = F.when(group == F.lit(label), value).otherwise(bound)
-    return row_hash(seed, key) <= bound
+    bound, tied, most = F.lit(_NONE), F.lit(False), F.lit(0)
+    own = row_hash(seed, key)
+    for label, (value, rest) in last.items():
+        same = group == F.lit(label)
+        bound = F.when(same, value).otherwise(bound)
+        if rest is not None:
+            at_cut = same & (own == value)
+            tied, most = tied | at_cut, F.when(same, rest).otherwise(most)
+    taken = df.withColumn("_taken", own <= bound)
+    if not any(rest is not None for _, rest in last.values()):
+        return taken
+    # Only rows that share the hash at the cut are ranked.
+    ties = df.filter(tied).withColumns({"_group": group, "_row": row_hash(seed, df.columns)})
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy("_row"))
+    ranked = ties.withColumn("_taken", rank <= most).drop("_group", "_row")
+    return taken.filter(~tied).unionByName(ranked)
 
 
 def cap_rows(df: DataFrame, max_rows: int | None, key: Sequence[str], seed: int = 42) -> DataFrame:
@@ -127,7 +138,7 @@ def cap_rows(df: DataFrame, max_rows: int | None, key: Sequence[str], seed: int
     def choose(sizes: dict) -> dict:
         return {c: min(max_rows, n) for c, n in sizes.items()}
 
-    return df.filter(_take_per_class(df, F.lit(0), key, seed, choose))
+    return _take_per_class(df, F.lit(0), key, seed, choose).filter("_taken").drop("_taken")
 
 
 def stratified_split(
@@ -136,7 +147,9 @@ def stratified_split(
     """Add ``in_test``: ``ceil(test_size * rows)`` rows, in proportion per label."""
 
     def choose(sizes: dict) -> dict:
+        if None in sizes:
+            raise ValueError(f"{sizes[None]} rows have no {label}; a split by label needs one in every row")
         total = sum(sizes.values())
         return stratum_sizes(sizes, math.ceil(test_size * total)) if total else {}
 
-    return df.withColumn("in_test", _take_per_class(df, F.col(label), key, seed, choose))
+    return _take_per_class(df, F.col(label), key, seed, choose).withColumnRenamed("_taken", "in_test")

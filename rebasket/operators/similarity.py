@@ -15,14 +15,13 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from rebasket.session import hand_over
+
 MAX_QUERY_ROWS = 4096
 MAX_QUERY_VALUES = 8_000_000  # 64 MB of doubles
 MAX_SHARD_VALUES = 16_000_000
@@ -196,26 +195,56 @@ def centroids(vectors: DataFrame, group: str, width: int) -> DataFrame:
 
 # --- text ---
 
-TEXT_DIMENSIONS = 1024
 
+def term_counts(texts: DataFrame, id_column: str, text_column: str = "text") -> DataFrame:
+    """(id, term, n): how often each text has each term; letters A-Z and digits, lower-cased."""
+    lower = F.translate(text_column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    terms = F.regexp_extract_all(lower, F.lit("([a-z0-9]+)"), F.lit(1))
+    return (
+        texts.select(F.col(id_column).alias("id"), F.explode(terms).alias("term"))
+        .groupBy("id", "term")
+        .agg(F.count("*").alias("n"))
+    )
 
-def fit_text_vectors(texts: DataFrame, column: str = "text", dims: int = TEXT_DIMENSIONS) -> PipelineModel:
-    """Learn term weights: hashed words, weighted by rarity, scaled to length 1.
 
-    The only pass adds up one number per dimension.  Words that share a
-    dimension are told apart less well the fewer dimensions there are.
+def text_top_k(
+    documents: DataFrame, questions: DataFrame, id_column: str, question_id: str, k: int = 4, digits: int = 9
+) -> DataFrame:
+    """(query_id, doc_id, rank, score): the ``k`` documents whose terms are closest to each question.
+
+    Terms are kept as they are and sparse.  A term weighs its count times
+    ln((documents + 1) / (documents with it + 1)); the score is the cosine of the
+    weights, rounded to ``digits``, ties go to the smaller id.  Scores are summed
+    over the terms of a question only, and documents without any of them are no
+    answer.  Terms are joined, so the postings of a frequent term are dealt over
+    many tasks by Spark's skew handling.
     """
-    stages = [
-        Tokenizer(inputCol=column, outputCol="_words"),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dims),
-        IDF(inputCol="_counts", outputCol="_weighted"),
-        Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0),
-    ]
-    return Pipeline(stages=stages).fit(texts)
-
-
-def text_vectors(model: PipelineModel, texts: DataFrame, id_column: str) -> DataFrame:
-    """(id, vector) rows for ``top_k_similar``."""
-    return model.transform(texts).select(
-        F.col(id_column).alias("id"), vector_to_array("_unit").alias("vector")
+    spark = documents.sparkSession
+    counts = hand_over(term_counts(documents, id_column), "terms").read(spark)
+    total = documents.count()
+    holding = counts.groupBy("term").agg(F.count("*").alias("holding"))
+    rarity = F.log((F.lit(total) + 1.0) / (F.coalesce("holding", F.lit(0)) + 1.0))
+
+    def weighed(found: DataFrame) -> DataFrame:
+        return found.join(holding, "term", "left").select("id", "term", (F.col("n") * rarity).alias("w"))
+
+    def lengths(weights: DataFrame) -> DataFrame:
+        return weights.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+
+    docs = hand_over(weighed(counts), "weights").read(spark)
+    asked = weighed(term_counts(questions, question_id))
+    pairs = docs.select(F.col("id").alias("doc_id"), "term", "w").join(
+        asked.select(F.col("id").alias("query_id"), "term", F.col("w").alias("v")), "term"
+    )
+    sums = pairs.groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    of_doc = lengths(docs).select(F.col("id").alias("doc_id"), F.col("length").alias("doc_length"))
+    of_query = lengths(asked).select(F.col("id").alias("query_id"), F.col("length").alias("query_length"))
+    scored = (
+        sums.filter("dot > 0")
+        .join(of_doc, "doc_id")
+        .join(of_query, "query_id")
+        .withColumn("score", F.round(F.col("dot") / (F.col("doc_length") * F.col("query_length")), digits))
     )
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "doc_id", F.col("rank").cast("int").alias("rank"), "score")

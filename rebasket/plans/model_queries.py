@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebasket.config import FeatureConfig, TrainingConfig
-from rebasket.functions.rules import MODEL_CONFIDENCE, MODEL_REASON
 from rebasket.operators.joined import join_orders, join_products, union_lines
 from rebasket.operators.model import (
     assembler,
@@ -20,6 +19,7 @@ from rebasket.operators.model import (
     validation_rows,
 )
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
+from rebasket.plans.pipeline import Job, batch_records, score_batch
 from rebasket.session import spread_rows
 from rebasket.sources.runs import load_model
 from rebasket.sources.tables import read_csv, write_csv
@@ -101,8 +101,7 @@ def assemble_inputs(bench: Workbench) -> DataFrame:
     )
 
 
-@query(
-    """SELECT reordered, in_test, count(*) AS n FROM (
+_SPLIT_COUNTS = """SELECT reordered, in_test, count(*) AS n FROM (
       SELECT reordered, row_number() OVER (PARTITION BY reordered ORDER BY 1) <= base
         + CASE WHEN place <= missing THEN 1 ELSE 0 END AS in_test
       FROM d_features JOIN (
@@ -114,40 +113,96 @@ def assemble_inputs(bench: Workbench) -> DataFrame:
           ceil(0.2E0 * sum(count(*)) OVER ()) AS wanted FROM d_features GROUP BY reordered))
       USING (reordered))
     GROUP BY reordered, in_test"""
-)
+
+
+@query(_SPLIT_COUNTS)
 def training_row_counts(bench: Workbench) -> DataFrame:
     rows = training_rows(bench.features, FeatureConfig(), TrainingConfig())
     return rows.groupBy("reordered", "in_test").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT * FROM (VALUES ('accuracy', true), ('roc_auc', true)) AS m(metric, above)")
 def train_random_forest_metrics(bench: Workbench) -> DataFrame:
-    """The whole feature table, split, fitted and measured."""
-    metrics = bench.trained.metrics
-    return bench.spark.createDataFrame(list(metrics.items()), "metric string, value double")
+    """Whether the fitted forest beats the larger class, and chance, on the test rows."""
+    tested = bench.trained.validation
+    share = tested.groupBy("reordered").count().agg(F.max("count") / F.sum("count")).first()[0]
+    least = {"accuracy": share, "roc_auc": 0.5}
+    rows = [(name, value > least[name]) for name, value in bench.trained.metrics.items()]
+    return bench.spark.createDataFrame(rows, "metric string, above boolean")
 
 
-@query()
+@query(f"SELECT {_KEY}, true AS as_fitted, true AS consistent FROM d_features")
 def model_batch_scores(bench: Workbench) -> DataFrame:
-    """Every feature row scored by the saved model's latest version."""
+    """Every row scored by the saved model's latest version, held against the fitted model."""
     model = load_model(bench.spark, bench.model_root, "reorder_model")
-    return predict(model, spread_rows(bench.features)).select(*RECORD_KEY, "prediction", "probability")
+    fitted = predict(bench.trained.model, spread_rows(bench.features)).withColumnsRenamed(
+        {"prediction": "fitted_prediction", "probability": "fitted_probability"}
+    )
+    saved = predict(model, fitted)
+    return saved.select(
+        *RECORD_KEY,
+        (
+            (F.col("prediction") == F.col("fitted_prediction"))
+            & (F.abs(F.col("probability") - F.col("fitted_probability")) < 1e-9)
+        ).alias("as_fitted"),
+        ((F.col("probability") > 0.5) == (F.col("prediction") == 1)).alias("consistent"),
+    )
 
 
 @query(
-    f"SELECT {_KEY}, '{MODEL_CONFIDENCE}' AS confidence_hint, '{MODEL_REASON}' AS reason, "
-    "true AS label_fits FROM d_features"
+    f"""SELECT {_KEY}, 'model_score' AS confidence_hint,
+      'Generated by the MLflow model registered for retail reorder prediction.' AS reason,
+      true AS label_fits, true AS beats_constant FROM d_features"""
 )
 def model_result_rows(bench: Workbench) -> DataFrame:
-    """The constant parts of a model result, and whether the label text fits the class."""
+    """The parts of a model result, whether the label fits, and whether the model beats a constant."""
     model = load_model(bench.spark, bench.model_root, "reorder_model")
     results = model_result(predict(model, spread_rows(bench.features)))
     fits = (F.col("prediction") == 1) == (F.col("label") == "likely_reordered")
-    return results.select(*RECORD_KEY, "confidence_hint", "reason", fits.alias("label_fits"))
+    hits, ones, rows = results.agg(
+        F.avg((F.col("prediction") == F.col("reordered")).cast("double")), F.sum("reordered"), F.count("*")
+    ).first()
+    better = hits > max(ones, rows - ones) / rows
+    return results.select(
+        *RECORD_KEY, "confidence_hint", "reason", fits.alias("label_fits"), F.lit(better).alias("beats_constant")
+    )
 
 
-@query()
+@query(f"SELECT reordered AS actual, n, true AS binary FROM ({_SPLIT_COUNTS}) WHERE in_test")
 def validation_export(bench: Workbench) -> DataFrame:
+    """The exported test rows, counted per label after a round trip through CSV."""
     pairs = validation_rows(bench.trained.validation, "reordered")
     path = write_csv(pairs, bench.scratch("validation"))
-    return read_csv(bench.spark, path, pairs.schema)
+    stored = read_csv(bench.spark, path, pairs.schema)
+    return stored.groupBy("actual").agg(
+        F.count("*").alias("n"), F.bool_and(F.col("prediction").isin(0, 1)).alias("binary")
+    )
+
+
+@query(
+    f"""SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(product_id AS VARCHAR) AS product_id,
+      CAST(order_number AS BIGINT) AS order_number, true AS scored FROM d_rough
+    WHERE user_order_count = floor(user_order_count)"""
+)
+def batch_scores_with_ids(bench: Workbench) -> DataFrame:
+    """JSON records with gaps and odd values: what the model can fill is scored, with its ids."""
+    path = bench.scratch("records")
+    bench.rough_records.write.json(path)
+    job = Job(raw="", root=bench.model_root, records=path, record_identity=("user_id", "product_id"))
+    scored = score_batch(bench.spark, job)
+    return scored.select(
+        "user_id", "product_id", "order_number", F.col("prediction").isin(0, 1).alias("scored")
+    )
+
+
+@query(
+    f"""SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(product_id AS VARCHAR) AS product_id,
+      'user_order_count' AS field FROM d_rough WHERE user_order_count <> floor(user_order_count)"""
+)
+def batch_records_set_aside(bench: Workbench) -> DataFrame:
+    """The records of the same batch that have a value of the wrong kind."""
+    path = bench.scratch("records")
+    bench.rough_records.write.json(path)
+    job = Job(raw="", root=bench.model_root, records=path, record_identity=("user_id", "product_id"))
+    _, aside = batch_records(bench.spark, job)
+    return aside.select("user_id", "product_id", F.explode("errors.field").alias("field"))

@@ -19,7 +19,7 @@ from rebasket.operators.model import (
     train,
     validation_rows,
 )
-from rebasket.operators.quality import split_valid
+from rebasket.operators.quality import split_scorable, split_valid
 from rebasket.session import spread_rows
 from rebasket.sources.records import read_records, write_json
 from rebasket.sources.runs import (
@@ -43,13 +43,15 @@ class Job:
     """Where the pipeline reads and writes, and its settings.
 
     ``raw`` holds the CSV files, ``root`` everything the stages write,
-    ``records`` the scoring records of the deployment stage.
+    ``records`` the scoring records of the deployment stage, whose
+    ``record_identity`` fields go to the output.
     """
 
     raw: str
     root: str
     records: str | None = None
     records_are_arrays: bool = False
+    record_identity: Sequence[str] = ()
     infer_types: bool = False
     stages: Sequence[str] = DEFAULT_STAGES
     features: FeatureConfig = field(default_factory=FeatureConfig)
@@ -113,18 +115,29 @@ def evaluate(spark: SparkSession, job: Job) -> str:
     return RETRAIN_STATUS if needs_retraining(spark, job) else STABLE_STATUS
 
 
-def score_batch(spark: SparkSession, job: Job, path: str | None = None) -> DataFrame:
-    """Model scores for a batch of JSON records; any bad record stops the job."""
+def batch_records(spark: SparkSession, job: Job, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The records to score, and those set aside with their ``errors``.
+
+    The model fills absent values, so only records with a value of the wrong kind
+    are set aside.  ``strict`` instead stops at any record outside the bounds.
+    """
     if job.records is None:
         raise MissingTable("no scoring records given")
-    records, _ = split_valid(
-        read_records(spark, job.records, job.records_are_arrays), strict=True
-    )
+    records = read_records(spark, job.records, job.records_are_arrays, job.record_identity)
+    return split_valid(records, strict=True) if strict else split_scorable(records)
+
+
+def score_batch(spark: SparkSession, job: Job, path: str | None = None, strict: bool = False) -> DataFrame:
+    """Model scores for a batch of JSON records, with the identity of each."""
+    records, _ = batch_records(spark, job, strict)
     model = load_model(spark, job.root, job.training.model_name, path)
     return model_result(predict(model, spread_rows(records)))
 
 
 def deploy(spark: SparkSession, job: Job) -> str:
+    """Scores and set-aside records as JSON, next to each other."""
+    _, aside = batch_records(spark, job)
+    write_json(aside, f"{job.predictions}/quarantine")
     return write_json(score_batch(spark, job), f"{job.predictions}/latest")
 
 

@@ -18,6 +18,7 @@ from rebasket.operators.features import (
     with_user_features,
 )
 from rebasket.operators.joined import (
+    build_joined,
     default_days,
     first_per_key,
     join_orders,
@@ -198,9 +199,17 @@ def feature_table(bench: Workbench) -> DataFrame:
     return build_features(bench.joined)
 
 
-@query("SELECT user_id, order_number, product_id, CAST(reordered AS INTEGER) AS reordered FROM d_features")
+@query(
+    """SELECT user_id, order_number, product_id, CAST(reordered AS INTEGER) AS from_number,
+      CAST(CASE WHEN product_id % 7 <> 0 THEN reordered END AS INTEGER) AS from_text FROM d_features"""
+)
 def label_cast(bench: Workbench) -> DataFrame:
-    return with_integer_label(bench.features, "reordered").select(*RECORD_KEY, "reordered")
+    """Labels that come as fractions lose them; labels that come as text, with gaps, become numbers."""
+    numbers = bench.features.withColumn("reordered", F.col("reordered") + 0.75)
+    cast = with_integer_label(numbers, "reordered").withColumnRenamed("reordered", "from_number")
+    text = F.when(F.col("product_id") % 7 != 0, F.col("from_number").cast("string"))
+    both = with_integer_label(cast.withColumn("label", text), "label")
+    return both.select(*RECORD_KEY, "from_number", F.col("label").alias("from_text"))
 
 
 @query("SELECT * EXCLUDE (reordered) FROM d_features")
@@ -279,3 +288,46 @@ def stratified_split_rows(bench: Workbench) -> DataFrame:
 def latest_version(bench: Workbench) -> DataFrame:
     """The pick of the newest version, here of each customer's newest order."""
     return latest_by_version(bench.orders, "user_id", "order_number", "order_id")
+
+
+@query(
+    """SELECT 'l_extendedprice' AS "column", CAST(median(l_extendedprice) AS DOUBLE) AS median FROM lineitem
+    UNION ALL SELECT 'l_discount', CAST(median(l_discount) AS DOUBLE) FROM lineitem"""
+)
+def median_continuous(bench: Workbench) -> DataFrame:
+    """A column of nearly distinct values and one of few, narrowed until 500 rows are ordered."""
+    return medians(bench.raw("lineitem"), ["l_extendedprice", "l_discount"], max_ordered=500)
+
+
+@query(
+    """SELECT 'days' AS "column", CAST(days AS DOUBLE) AS mode FROM (
+      SELECT days_since_prior_order / 4.0E0 AS days FROM d_features WHERE order_number > 1)
+    GROUP BY days ORDER BY count(*) DESC, days LIMIT 1"""
+)
+def mode_of_doubles(bench: Workbench) -> DataFrame:
+    """The most frequent of fractional values, which must not be rounded."""
+    days = F.when(F.col("order_number") > 1, F.col("days_since_prior_order") / 4).otherwise(float("nan"))
+    return modes(bench.features.select(days.alias("days")), ["days"])
+
+
+@query(
+    """SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', user_id)),
+        md5(concat_ws('|', '42', user_id, order_number, product_id))) AS rn
+      FROM (SELECT user_id, order_number, product_id FROM d_features)) WHERE rn <= 1000"""
+)
+def cap_with_repeated_keys(bench: Workbench) -> DataFrame:
+    """A cap by a key that many rows share: the rows at the cut are told apart by their other columns."""
+    return cap_rows(bench.features.select("user_id", "order_number", "product_id"), 1000, ["user_id"], seed=42)
+
+
+@query("SELECT * FROM d_joined")
+def joined_table_salted(bench: Workbench) -> DataFrame:
+    """The joined table by the plan for hot keys: every key of twenty lines counts as hot."""
+    return build_joined(bench.orders, bench.prior, bench.train, bench.products, hot_rows=20)
+
+
+@query("SELECT * FROM d_features")
+def feature_table_salted(bench: Workbench) -> DataFrame:
+    """The feature table by the plan for hot keys."""
+    return build_features(bench.joined, hot_rows=20)

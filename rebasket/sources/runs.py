@@ -84,8 +84,9 @@ def save_model(spark: SparkSession, root: str, name: str, model: PipelineModel,
     if known is not None:
         last = known.filter(F.col("model") == name).agg(F.max("version")).first()[0] or 0
     version = last + 1
-    path = f"{root}/models/{name}/version={version}"
-    model.write().overwrite().save(path)
+    # The run is part of the path: a run at the same time cannot replace this model.
+    path = f"{root}/models/{name}/version={version}-{run_id}"
+    model.save(path)
     _append(spark, f"{root}/versions", (name, version, path, run_id, _now()), VERSIONS)
     return path
 

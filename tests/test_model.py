@@ -123,3 +123,23 @@ def test_guards(features):
 def test_forest_parameters():
     forest = classifier(ModelConfig(), "reordered")
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (100, 10, 42)
+
+
+def test_fractional_categories_keep_their_text(spark):
+    rows = spark.createDataFrame([(v,) for v in (3.0, 3.0, 1.5, 1.5, 1.5, None)], "c double")
+    filled = imputer(rows, [], ["c"]).transform(rows)
+    assert sorted(r["c_filled"] for r in filled.collect()) == ["1.5"] * 4 + ["3.0"] * 2
+
+
+def test_columns_without_values_are_left_out(spark):
+    rows = spark.createDataFrame([(None, None)], "a double, b int")
+    assert imputer(rows, ["a"], ["b"]).transform(rows).columns == ["a", "b"]
+
+
+def test_forest_parameters_are_used_or_refused():
+    params = {"n_estimators": 7, "max_depth": None, "min_samples_leaf": 50, "max_features": "log2", "criterion": "entropy"}
+    forest = classifier(ModelConfig(params=params), "y")
+    assert forest.getNumTrees() == 7 and forest.getMaxDepth() == 30 and forest.getMinInstancesPerNode() == 50
+    assert forest.getFeatureSubsetStrategy() == "log2" and forest.getImpurity() == "entropy"
+    with pytest.raises(ValueError, match="warm_start"):
+        classifier(ModelConfig(params={"warm_start": True}), "y")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rebasket.config import DEFAULT_STAGES, DEMO_TRAINING, FULL_TRAINING, STAGES, ModelConfig, TrainingConfig
 from rebasket.functions.rules import score_with_rules
 from rebasket.operators.quality import InvalidRecords
-from rebasket.plans.pipeline import STAGE_JOBS, Job, evaluate, retrain_if_drifted, run
+from rebasket.plans.pipeline import STAGE_JOBS, Job, evaluate, retrain_if_drifted, run, score_batch
 from rebasket.schemas import RECORD, RECORD_FIELDS, RECORD_TEXT, TABLES
 from rebasket.session import new_path, shared_folder
 from rebasket.sources.records import read_records, write_json
@@ -124,14 +124,14 @@ def test_pipeline_end_to_end(spark, job, tmp_path):
     logged = read_history(spark, f"{job.root}/runs", RUNS).collect()
     assert len(logged) == 1 and logged[0].params["n_estimators"] == "3"
     assert dict(map(tuple, read_latest_metrics(spark, job.root).collect())) == logged[0].metrics
-    assert latest_model_path(spark, job.root, "reorder_model").endswith("version=1")
+    assert "/version=1-" in latest_model_path(spark, job.root, "reorder_model")
 
     # a drifted model is trained again, a stable one is not
     assert retrain_if_drifted(spark, job) is False
     strict = replace(job, training=replace(job.training, min_metric=1.1))
     assert evaluate(spark, strict) == "retraining recommended"
     assert retrain_if_drifted(spark, strict) is True
-    assert latest_model_path(spark, job.root, "reorder_model").endswith("version=2")
+    assert "/version=2-" in latest_model_path(spark, job.root, "reorder_model")
     assert read_history(spark, f"{job.root}/metrics", METRICS).select("run_id").distinct().count() == 2
 
     # batch scoring from a JSON list and from JSON lines
@@ -145,9 +145,20 @@ def test_pipeline_end_to_end(spark, job, tmp_path):
         written = spark.read.json(run(spark, deploy)["deployment"])
         assert written.count() == 2
         assert {r.confidence_hint for r in written.collect()} == {"model_score"}
-    (tmp_path / "lines.json").write_text(json.dumps({**records[0], "order_dow": 7}))
+    # what the model can fill is scored with its ids, a value of the wrong kind is set aside
+    odd = [
+        {**records[0], "order_dow": 7, "aisle_id": 0, "id": "x1"},
+        {k: v for k, v in {**records[0], "id": "x2"}.items() if k != "days_since_prior_order"},
+        {**records[0], "order_number": "three", "id": "x3"},
+    ]
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, odd)))
+    named = replace(deploy, record_identity=("id",))
+    written = spark.read.json(run(spark, named)["deployment"])
+    assert {r.id for r in written.collect()} == {"x1", "x2"}
+    aside = spark.read.json(f"{job.predictions}/quarantine").collect()
+    assert [(r.id, r.errors[0].field) for r in aside] == [("x3", "order_number")]
     with pytest.raises(InvalidRecords):
-        run(spark, deploy)
+        score_batch(spark, named, strict=True)
 
 
 def test_first_run_without_metrics_trains(spark, job):

@@ -9,30 +9,21 @@ import pytest
 from oracle import compare, contract, duck
 from pyspark.sql import functions as F
 
-from rebasket.plans.catalog import workbench
+from rebasket.plans.catalog import ORACLES, QUERIES, workbench
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
 
-# Learned or hashed results, tested elsewhere by properties and brute force.
-NO_SQL = {
-    "train_random_forest_metrics",
-    "model_batch_scores",
-    "validation_export",
-    "text_topk",
-}
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(FOLDER)
 
 
 def test_which_queries_have_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_SQL
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
     ok, note = compare(spark, con, FOLDER, name)
     assert ok, note

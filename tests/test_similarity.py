@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -8,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rebasket.operators import similarity
-from rebasket.operators.similarity import fit_text_vectors, text_vectors, top_k_similar
+from rebasket.operators.similarity import text_top_k, top_k_similar
 
 EMBEDDINGS = Path("/root/testdata/sf0.01/embeddings.parquet")
 
@@ -88,27 +90,25 @@ TEXTS = [
 
 
 def test_text_search_equals_brute_force(spark):
-    documents = spark.createDataFrame(TEXTS, "id long, text string")
-    model = fit_text_vectors(documents, dims=256)
-    corpus = text_vectors(model, documents, "id")
-
-    # The same weights from the hashed counts, by hand.
-    hashed = model.stages[1].transform(model.stages[0].transform(documents))
-    counts = {r.id: dict(zip(r._counts.indices.tolist(), r._counts.values.tolist())) for r in hashed.collect()}
-    seen = {t: sum(t in c for c in counts.values()) for c in counts.values() for t in c}
-    weights = {
-        i: [c.get(t, 0.0) * math.log((len(TEXTS) + 1) / (seen.get(t, 0) + 1)) for t in range(256)]
-        for i, c in counts.items()
-    }
-    unit = []
-    for i, w in weights.items():
-        length = math.sqrt(sum(x * x for x in w))
-        unit.append((i, [x / length for x in w] if length else w))
-    # Unrelated texts are equally far up to rounding, so distances are compared.
-    near = top_k_similar(corpus, corpus, k=3).orderBy("query_id", "rank").collect()
-    for i, query in unit:
-        got = [r.distance for r in near if r.query_id == i]
-        want = sorted(sum((a - b) ** 2 for a, b in zip(query, v)) for _, v in unit)[:3]
-        assert got == pytest.approx(want, abs=1e-9)
-    nearest = {(r.query_id, r.doc_id) for r in near if r["rank"] == 2}
-    assert (4, 3) in nearest and (1, 6) in nearest
+    documents = spark.createDataFrame([*TEXTS, (7, None), (8, "Zug-FAHRT 2 zug")], "id long, text string")
+    questions = spark.createDataFrame([(1, "apple TREE"), (2, "zug"), (3, "unknown"), (4, None)], "q long, text string")
+    counts = {r["id"]: Counter(re.findall("[a-z0-9]+", (r["text"] or "").lower())) for r in documents.collect()}
+    asked = {r["q"]: Counter(re.findall("[a-z0-9]+", (r["text"] or "").lower())) for r in questions.collect()}
+
+    def weights(found):
+        holding = {t: sum(t in c for c in counts.values()) for t in found}
+        return {t: n * math.log((len(counts) + 1) / (holding[t] + 1)) for t, n in found.items()}
+
+    want = []
+    for q, found in asked.items():
+        v = weights(found)
+        scored = []
+        for i, c in counts.items():
+            w = weights(c)
+            dot = sum(v[t] * w.get(t, 0) for t in v)
+            if dot > 0:
+                lengths = math.sqrt(sum(x * x for x in v.values())) * math.sqrt(sum(x * x for x in w.values()))
+                scored.append((-round(dot / lengths, 9), i))
+        want += [(q, i, k + 1, pytest.approx(-s, abs=2e-9)) for k, (s, i) in enumerate(sorted(scored)[:2])]
+    got = text_top_k(documents, questions, "id", "q", k=2).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == want

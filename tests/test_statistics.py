@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
+from rebasket.functions.hashing import row_hash
 from rebasket.operators.drift import check_drift, flag_drift
 from rebasket.operators.sampling import cap_rows, stratified_split, stratum_sizes
 from rebasket.operators.statistics import (
@@ -145,9 +147,58 @@ def test_no_cap_keeps_the_table(labelled):
 
 
 @pytest.mark.parametrize("ranked", [1_000_000, 3])
-def test_ambiguous_cut_is_reported(labelled, ranked, monkeypatch):
+def test_repeated_keys_at_the_cut_are_told_apart(labelled, ranked, monkeypatch):
     from rebasket.operators import sampling
 
     monkeypatch.setattr(sampling, "MAX_RANKED", ranked)
-    with pytest.raises(ValueError, match="not unique"):
-        cap_rows(labelled, 1_001, ["user_id"])
+    capped = cap_rows(labelled, 1_001, ["user_id"])
+    assert capped.columns == labelled.columns and capped.count() == 1_001
+    assert capped.exceptAll(labelled).count() == 0
+    again = cap_rows(labelled.repartition(7), 1_001, ["user_id"])
+    assert again.exceptAll(capped).count() == 0
+
+
+def test_rows_alike_are_taken_in_the_wanted_number(spark):
+    rows = spark.createDataFrame([(1, "a")] * 100 + [(None, "a")] * 20, "id long, t string")
+    assert cap_rows(rows, 15, ["id"]).count() == 15
+    assert cap_rows(rows, 110, ["id"]).count() == 110
+    split = stratified_split(rows, "t", 0.25, ["id"])
+    assert split.filter("in_test").count() == 30 and split.count() == 120
+
+
+def test_null_labels_are_refused(spark):
+    rows = spark.createDataFrame([(k, None if k % 3 == 0 else k % 2) for k in range(103)], "id long, y int")
+    with pytest.raises(ValueError, match="35 rows have no y"):
+        stratified_split(rows, "y", 0.2, ["id"])
+
+
+def test_keys_never_read_alike(spark):
+    pairs = [("a|b", "c"), ("a", "b|c"), ("a\\|b", "c"), (None, "c"), ("", "c"), ("\\N", "c"), ("c", None)]
+    rows = spark.createDataFrame(pairs, "x string, y string")
+    assert rows.select(row_hash(1, ["x", "y"]).alias("h")).distinct().count() == len(pairs)
+
+
+def test_modes_keep_their_type(spark):
+    rows = spark.createDataFrame([(v,) for v in (3.0, 3.0, 1.5, 1.5, 1.5, None, float("nan"))], "x double")
+    assert modes(rows, ["x"]).collect() == [("x", 1.5)]
+    tied = spark.createDataFrame([(2, 0.5), (1, 0.25)], "a int, b double")
+    assert {r[0]: r[1] for r in modes(tied, ["a", "b"]).collect()} == {"a": 1.0, "b": 0.25}
+
+
+def test_narrowed_medians(spark):
+    rng = random.Random(9)
+    values = [rng.gauss(0, 1) for _ in range(4001)] + [0.25] * 500
+    rows = spark.createDataFrame([(v, float(k % 3), None) for k, v in enumerate(values)], "a double, b double, c double")
+    want = {"a": statistics.median(values), "b": statistics.median(k % 3 for k in range(len(values)))}
+    for few in (100_000, 50, 1):
+        assert {r[0]: r[1] for r in medians(rows, ["a", "b", "c"], few).collect()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("scale", [1e9, 1e-9, 1.0])
+def test_area_does_not_depend_on_the_scale(spark, scale):
+    rng = random.Random(3)
+    rows = [(rng.choice([rng.random(), 0.5]) * scale, int(rng.random() < 0.3)) for _ in range(3000)]
+    pos, neg = ([s for s, y in rows if y == k] for k in (1, 0))
+    want = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
+    frame = spark.createDataFrame([*rows, (math.nan, 1), (None, 0)], "s double, y int")
+    assert roc_auc(frame, "s", "y").first()[0] == pytest.approx(want)
