@@ -42,12 +42,68 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=2)
 
 
+ORACLES["op2_near_duplicates"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS k FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM docs
+  UNION SELECT doc_id, b FROM reach JOIN both_ways ON a = other
+), classes AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) JOIN classes USING (doc_id)
+"""
+
+
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return contamination_digest(find_contamination(docs, items))
 
 
+_PLAIN = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLES["op3_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, {_PLAIN} AS w FROM documents
+), items AS (SELECT item_id, {_PLAIN} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM items WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+    FROM docs, (SELECT DISTINCT n FROM windows))
+), hits AS (
+  SELECT doc_id, item_id, k, p.n FROM places p JOIN windows w ON w.s = p.s AND w.n = p.n
+), words AS (
+  SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS place FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 @query
 def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licences(table(spark, folder, "documents"))
