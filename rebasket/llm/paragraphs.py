@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebasket.llm.links import link_classes
@@ -23,6 +23,10 @@ PASSAGE_WORDS = 30
 """Neighbouring repeated paragraphs are a passage from so many words on."""
 GAP_WORDS = 8
 """Words between repeated paragraphs that a passage bridges (less than a paragraph)."""
+FRAGMENT = 8
+"""Words of a fragment: exact pieces that overlap, for passages without sentence ends."""
+SPREAD = 15
+"""Of so many neighbouring fragments at least one is counted in the first pass."""
 SHINGLE = 5
 PERCENT = 80
 BITS_APART = 29
@@ -41,14 +45,15 @@ def tuned_bands(percent: int = PERCENT, missed: float = MISSED, registers: int =
     return int(np.ceil(np.log(missed) / np.log(1 - (percent / 100) ** registers)))
 
 
-def paragraphs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+def paragraphs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The paragraphs of texts: text number, first and last (exclusive) word in the flat array.
 
     Also the distinct words, their numbers in the flat array and where texts
-    start in it.  A paragraph never crosses a line; it is a sentence, or a row of
-    sentences shorter than ``UNIT_WORDS``, or a piece of a longer stretch.  Its
-    borders depend on nearby words only, so a passage has the same paragraphs
-    inside wherever it stands.
+    start in it, and first and last (exclusive) words of the stretches before
+    they are cut.  A paragraph never crosses a line; it is a sentence, or a row of
+    sentences shorter than ``UNIT_WORDS``, or a piece of a longer stretch.
+    Whether a stretch is cut depends on its length, so passages without sentence
+    ends are found by ``fragments`` of the uncut stretches.
     """
     lines = [(t or b"").lower().split(b"\n") for t in texts]
     parts = [[line.split() for line in text] for text in lines]
@@ -56,7 +61,7 @@ def paragraphs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nd
     n = len(codes)
     none = np.zeros(0, np.int64)
     if not n:
-        return none, none, none, distinct, codes, starts
+        return none, none, none, distinct, codes, starts, none, none
     ends = np.fromiter((w.endswith(_BOUNDARY) for w in distinct), bool, len(distinct))[codes]
     lengths = np.fromiter((len(line) for text in parts for line in text), np.int64)
     line_ends = np.cumsum(lengths)
@@ -64,16 +69,13 @@ def paragraphs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nd
     ends[line_ends - 1] = True
     hashes = word_hashes(distinct)[codes]
     begin, end = _stretches(ends)
+    whole = _rows(begin, end, line_ends, n)
     long = np.repeat(end - begin > LONG_WORDS, end - begin)
     if long.any():
         anchor = mixed(np.concatenate((hashes[:1], hashes[:-1])) * _STEP + hashes) % np.uint64(ANCHOR) == 0
         ends |= long & anchor
         begin, end = _stretches(ends)
-    short = end - begin < UNIT_WORDS
-    first = np.isin(begin, np.concatenate(([0], line_ends)))
-    opens = first | ~short | np.concatenate(([True], ~short[:-1]))
-    begin = begin[opens]
-    end = np.concatenate((begin[1:], [n]))
+    begin, end = _rows(begin, end, line_ends, n)
     # A row of short sentences may be as long as a page.
     wide = np.repeat(end - begin > LONG_WORDS, end - begin)
     if wide.any():
@@ -83,7 +85,16 @@ def paragraphs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nd
         begin, end = _stretches(stops | (wide & anchor))
     fits = end - begin >= UNIT_WORDS
     begin, end = begin[fits], end[fits]
-    return np.searchsorted(starts, begin, "right") - 1, begin, end, distinct, codes, starts
+    return np.searchsorted(starts, begin, "right") - 1, begin, end, distinct, codes, starts, *whole
+
+
+def _rows(begin: np.ndarray, end: np.ndarray, line_ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring stretches below ``UNIT_WORDS`` words of a line as one."""
+    short = end - begin < UNIT_WORDS
+    first = np.isin(begin, np.concatenate(([0], line_ends)))
+    opens = first | ~short | np.concatenate(([True], ~short[:-1]))
+    begin = begin[opens]
+    return begin, np.concatenate((begin[1:], [n]))
 
 
 def _stretches(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,6 +126,40 @@ def signatures(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, bands: in
     return node.view(np.int64), buckets
 
 
+def fragments(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the fragment at every word, and the first words of those that are counted.
+
+    Of ``SPREAD`` neighbouring fragments of a stretch the one with the least hash
+    is counted, so texts that share ``SPREAD + FRAGMENT - 1`` words inside
+    stretches count a common fragment there, whatever stands around it.
+    """
+    n, reach = len(hashes) - FRAGMENT + 1, SPREAD + FRAGMENT - 1
+    fits = end - begin >= reach
+    if not fits.any():
+        return np.zeros(max(n, 0), np.uint64), np.zeros(0, np.int64)
+    total = np.zeros(n, np.uint64)
+    for k in range(FRAGMENT):
+        total += mixed(hashes[k : k + n] + np.array([k], np.uint64) * _STEP)
+    node = mixed(total + np.uint64(FRAGMENT))
+    open_at = np.zeros(len(hashes) + 1, np.int64)
+    open_at[begin[fits]] += 1
+    np.subtract.at(open_at, end[fits] - reach + 1, 1)
+    asked = np.flatnonzero(np.cumsum(open_at) > 0)
+    around = np.lib.stride_tricks.sliding_window_view(mixed(node), SPREAD)
+    at = asked + around[asked].argmin(axis=1)
+    return node, at[np.concatenate(([True], at[1:] != at[:-1]))]
+
+
+def _reached(hits: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All fragments less than ``SPREAD`` words from a hit in its stretch: words shared around it."""
+    row = np.searchsorted(begin, hits, "right") - 1
+    low = np.maximum(hits - SPREAD + 1, begin[row])
+    high = np.minimum(hits + SPREAD - 1, end[row] - FRAGMENT)
+    low[1:] = np.maximum(low[1:], high[:-1] + 1)
+    sizes = np.maximum(high - low + 1, 0)
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - low, sizes)
+
+
 def bits(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """One bit of each of 128 minima over the shingles of each paragraph, in two longs."""
     out = np.zeros((len(begin), 2), np.int64)
@@ -135,10 +180,10 @@ def bits(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def _found(part: pa.RecordBatch, bands: int):
-    text, begin, end, distinct, codes, starts = paragraphs(part.column("text").to_pylist())
+    text, begin, end, distinct, codes, starts, *whole = paragraphs(part.column("text").to_pylist())
     hashes = word_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
     node, buckets = signatures(hashes, begin, end, bands)
-    return text, begin, end, node, buckets, distinct, codes, starts, hashes
+    return text, begin, end, node, buckets, distinct, codes, starts, hashes, whole
 
 
 def _sightings(docs: DataFrame, bands: int) -> DataFrame:
@@ -146,14 +191,18 @@ def _sightings(docs: DataFrame, bands: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            text, _, _, node, buckets, *_ = _found(part, bands)
-            ids = part.column("doc_id").to_numpy().astype(np.int64)[text]
+            text, _, _, node, buckets, _, _, starts, hashes, whole = _found(part, bands)
+            doc_ids = part.column("doc_id").to_numpy().astype(np.int64)
+            every, counted = fragments(hashes, *whole)
+            owner = np.searchsorted(starts, counted, "right") - 1
+            ids = doc_ids[np.concatenate((text, owner))]
             # 32 bits tell two values of one place apart but for one pair in 4e9.
             of_node = (mixed(node.view(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             of_doc = (mixed(ids.view(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             for k in range(bands):
                 yield pa.RecordBatch.from_pydict({"place": buckets[:, k], "seen": of_node})
-            yield pa.RecordBatch.from_pydict({"place": node, "seen": of_doc})
+            places = np.concatenate((node, every[counted].view(np.int64)))
+            yield pa.RecordBatch.from_pydict({"place": places, "seen": of_doc})
 
     seen = with_bytes(docs, "doc_id").mapInArrow(run, "place long, seen int")
     grouped = seen.groupBy("place").agg(F.min("seen").alias("least"), F.max("seen").alias("most"))
@@ -161,13 +210,13 @@ def _sightings(docs: DataFrame, bands: int) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, known: Membership, bands: int) -> DataFrame:
-    """The paragraphs that may be repeated; with their words where a bucket is shared."""
+    """The paragraphs and fragments that may be repeated; with their words where a bucket is shared."""
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = sent.value
         for part in slices(batches):
-            text, begin, end, node, buckets, distinct, codes, starts, hashes = _found(part, bands)
+            text, begin, end, node, buckets, distinct, codes, starts, hashes, whole = _found(part, bands)
             hit = places.holds(buckets.reshape(-1).view(np.uint64)).reshape(buckets.shape)
             near = hit.any(axis=1)
             kept = np.flatnonzero(near | places.holds(node.view(np.uint64)))
@@ -185,11 +234,33 @@ def _occurrences(docs: DataFrame, known: Membership, bands: int) -> DataFrame:
                     "node": node[kept],
                     "buckets": pa.array([buckets[k][hit[k]].tolist() for k in kept.tolist()], pa.list_(pa.int64())),
                     "text": pa.array(words, pa.binary()),
+                    "fragment": np.zeros(len(kept), bool),
                 }
             )
+            every, counted = fragments(hashes, *whole)
+            hits = counted[places.holds(every[counted])]
+            if len(hits):
+                at = _reached(hits, *whole)
+                owner = np.searchsorted(starts, at, "right") - 1
+                none = np.zeros(len(at), np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "bits0": none,
+                        "bits1": none,
+                        "doc_id": part.column("doc_id").take(pa.array(owner)),
+                        "first_word": at - starts[owner],
+                        "n_words": none + FRAGMENT,
+                        "node": every[at].view(np.int64),
+                        "buckets": pa.nulls(len(at), pa.list_(pa.int64())),
+                        "text": pa.nulls(len(at), pa.binary()),
+                        "fragment": np.ones(len(at), bool),
+                    }
+                )
 
     return with_bytes(docs, "doc_id").mapInArrow(
-        run, "bits0 long, bits1 long, doc_id long, first_word long, n_words long, node long, buckets array<long>, text binary"
+        run,
+        "bits0 long, bits1 long, doc_id long, first_word long, n_words long, node long, buckets array<long>, text binary, "
+        "fragment boolean",
     )
 
 
@@ -223,9 +294,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     shared >= 80 * all of their five-word shingles; classes are what this
     connects.  A first pass only counts, per bucket and paragraph hash, whether
     different ones meet there; a second pass takes up the paragraphs that do, by
-    filters of bounded size, and ``links`` verifies them.  Neighbouring repeated
-    paragraphs with fewer than ``GAP_WORDS`` words between them form a passage;
-    passages below ``PASSAGE_WORDS`` words are left alone.
+    filters of bounded size, and ``links`` verifies them.  Where stretches share
+    ``SPREAD + FRAGMENT - 1`` words or more, their equal ``fragments`` are taken
+    up too, word by word to both ends, so a passage without sentence ends is found
+    whole wherever it stands.  Words outside repeated paragraphs follow their
+    fragments; a document that keeps a fragment keeps it at all its places.
+    Neighbouring repeated words with fewer than ``GAP_WORDS`` words between them
+    form a passage; passages below ``PASSAGE_WORDS`` words are left alone.
 
     Null and empty texts have no paragraphs.  Rows of one doc_id are one
     document, what repeats inside it only is not repeated; rows without doc_id
@@ -250,7 +325,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     texts = hand_over(texts, "texts").read(spark)
     classes = link_classes(members, lambda pairs: _verify(pairs, texts), percent=PERCENT, differing=BITS_APART)
     placed = (
-        stored.select("doc_id", "first_word", "n_words", "node")
+        stored.select("doc_id", "first_word", "n_words", "node", "fragment")
         .join(classes, "node", "left")
         .withColumn("class", F.coalesce("component", "node"))
         .drop("component", "node")
@@ -264,32 +339,60 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         .filter("docs > 1")
     )
     repeated = placed.join(per_class, "class").withColumn(
-        "removed", ~((F.col("doc_id") == F.col("keep.doc_id")) & (F.col("first_word") == F.col("keep.at")))
+        "removed",
+        ~((F.col("doc_id") == F.col("keep.doc_id")) & (F.col("fragment") | (F.col("first_word") == F.col("keep.at")))),
     )
     return _passages(repeated)
 
 
 def _passages(repeated: DataFrame) -> DataFrame:
-    order = Window.partitionBy("doc_id").orderBy("first_word", "class")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    end = F.col("first_word") + F.col("n_words")
-    starts = (
-        F.max(end).over(before).isNull()
-        | (F.col("first_word") - F.max(end).over(before) >= GAP_WORDS)
-        | (F.lag("removed").over(order) != F.col("removed"))
-    )
-    islands = repeated.withColumn("starts", starts.cast("int")).withColumn("island", F.sum("starts").over(order))
-    longest = F.struct("n_words", "class")
-    return (
-        islands.groupBy("doc_id", "island")
-        .agg(
-            F.min("first_word").alias("first_word"),
-            (F.max(end) - F.min("first_word")).alias("n_words"),
-            F.max_by("class", longest).alias("class_id"),
-            F.max_by("docs", longest).alias("class_docs"),
-            F.max_by("keep.doc_id", longest).alias("kept_doc_id"),
-            F.first("removed").alias("removed"),
-        )
-        .filter(F.col("n_words") >= PASSAGE_WORDS)
-        .drop("island")
+    piece = F.struct("first_word", "n_words", "fragment", "removed", "class", "docs", F.col("keep.doc_id").alias("kept"))
+    per_doc = repeated.groupBy("doc_id").agg(F.collect_list(piece).alias("pieces"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("pieces")
+            cuts = lists.offsets.to_numpy()
+            flat = lists.values
+            names = [flat.type.field(k).name for k in range(flat.type.num_fields)]
+            fields = {k: flat.field(j).to_numpy(zero_copy_only=False) for j, k in enumerate(names)}
+            for k, doc in enumerate(batch.column("doc_id").to_pylist()):
+                found = _joined({name: v[cuts[k] : cuts[k + 1]] for name, v in fields.items()})
+                if found:
+                    columns = zip(("first_word", "n_words", "class_id", "class_docs", "kept_doc_id", "removed"), zip(*found))
+                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc] * len(found), pa.int64())} | dict(columns))
+
+    return per_doc.mapInArrow(
+        run,
+        "doc_id long, first_word long, n_words long, class_id long, class_docs long, kept_doc_id long, removed boolean",
     )
+
+
+def _joined(pieces: dict[str, np.ndarray]) -> list[tuple]:
+    """The passages of a document: runs of its repeated words, by whether they are removed."""
+    begin, removed = pieces["first_word"], pieces["removed"].astype(bool)
+    end, fragment = begin + pieces["n_words"], pieces["fragment"].astype(bool)
+    base = int(begin.min())
+    state = np.zeros(int(end.max()) - base, np.int8)  # 1 stays, 2 is removed
+    # What comes later counts: a word of a paragraph follows it, and what is kept stays whole.
+    for some, value in ((fragment & removed, 2), (fragment & ~removed, 1), (~fragment & removed, 2), (~fragment & ~removed, 1)):
+        if some.any():
+            change = np.zeros(len(state) + 1, np.int64)
+            np.add.at(change, begin[some] - base, 1)
+            np.add.at(change, end[some] - base, -1)
+            state[np.cumsum(change[:-1]) > 0] = value
+    edges = np.flatnonzero(np.diff(state)) + 1
+    first, last = np.concatenate(([0], edges)), np.concatenate((edges, [len(state)]))
+    held = state[first] > 0
+    first, last = first[held], last[held]
+    opens = np.concatenate(([True], (first[1:] - last[:-1] >= GAP_WORDS) | (state[first[1:]] != state[first[:-1]])))
+    number = np.flatnonzero(opens)
+    first, last = first[number], last[np.concatenate((number[1:] - 1, [len(last) - 1]))]
+    fits = last - first >= PASSAGE_WORDS
+    rows = []
+    for b, e in zip((first[fits] + base).tolist(), (last[fits] + base).tolist()):
+        gone = bool(state[b - base] == 2)
+        own = np.flatnonzero((begin < e) & (end > b) & (removed == gone))
+        longest = own[np.lexsort((pieces["class"][own], pieces["n_words"][own]))[-1]]
+        rows.append((b, e - b, *(int(pieces[k][longest]) for k in ("class", "docs", "kept")), gone))
+    return rows

@@ -263,6 +263,30 @@ def test_long_shared_passages_are_found_wherever_they_stand(spark):
     assert not got - truth and len(truth - got) <= 0.05 * len(truth)
 
 
+def test_passages_without_sentence_ends_are_found_whole(spark):
+    rng = random.Random(22)
+
+    def text(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+
+    rows, expected = [], set()
+    for k in range(60):
+        n = rng.randint(51, 60) if k % 2 else rng.randint(31, 50)
+        shared, head = text(n), rng.randint(5, 90)
+        rows.append((3 * k, f"{text(head)} {shared} {text(rng.randint(5, 90))}"))
+        # In another stretch, or on a line of its own.
+        other = f"{text(head + 9)} {shared} {text(40)}" if k % 3 else f"{text(head + 9)}\n{shared}\n{text(40)}"
+        rows.append((3 * k + 1, other))
+        rows.append((3 * k + 2, text(80)))
+        expected |= {(3 * k, head, n, 3 * k, False), (3 * k + 1, head + 9, n, 3 * k, True)}
+    got = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {(r["doc_id"], r["kept_doc_id"], r["removed"]): r for r in got.collect()}
+    assert set(got) == {(doc, kept, gone) for doc, _, _, kept, gone in expected}
+    for doc, first, n, kept, gone in expected:  # a paragraph that is only alike may reach beyond
+        r = got[doc, kept, gone]
+        assert first - 12 <= r["first_word"] <= first and first + n <= r["first_word"] + r["n_words"] <= first + n + 12
+
+
 def test_bands_keep_the_recall_they_are_tuned_for():
     bands = paragraphs.tuned_bands(80, 0.002, 3)
     assert (1 - 0.8**3) ** bands <= 0.002 < (1 - 0.8**3) ** (bands - 1)
