@@ -300,7 +300,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     whole wherever it stands.  Words outside repeated paragraphs follow their
     fragments; a document that keeps a fragment keeps it at all its places.
     Neighbouring repeated words with fewer than ``GAP_WORDS`` words between them
-    form a passage; passages below ``PASSAGE_WORDS`` words are left alone.
+    form a passage; passages below ``PASSAGE_WORDS`` words are left alone.  A
+    passage that stays in part has a row for each part, however short.
 
     Null and empty texts have no paragraphs.  Rows of one doc_id are one
     document, what repeats inside it only is not repeated; rows without doc_id
@@ -369,7 +370,7 @@ def _passages(repeated: DataFrame) -> DataFrame:
 
 
 def _joined(pieces: dict[str, np.ndarray]) -> list[tuple]:
-    """The passages of a document: runs of its repeated words, by whether they are removed."""
+    """The passages of a document: its long enough runs of repeated words, cut where ``removed`` changes."""
     begin, removed = pieces["first_word"], pieces["removed"].astype(bool)
     end, fragment = begin + pieces["n_words"], pieces["fragment"].astype(bool)
     base = int(begin.min())
@@ -385,10 +386,12 @@ def _joined(pieces: dict[str, np.ndarray]) -> list[tuple]:
     first, last = np.concatenate(([0], edges)), np.concatenate((edges, [len(state)]))
     held = state[first] > 0
     first, last = first[held], last[held]
-    opens = np.concatenate(([True], (first[1:] - last[:-1] >= GAP_WORDS) | (state[first[1:]] != state[first[:-1]])))
-    number = np.flatnonzero(opens)
+    apart = np.concatenate(([True], first[1:] - last[:-1] >= GAP_WORDS))
+    run = np.cumsum(apart) - 1
+    length = np.append(last[:-1][apart[1:]], last[-1]) - first[apart]
+    number = np.flatnonzero(apart | np.concatenate(([True], state[first[1:]] != state[first[:-1]])))
+    fits = length[run[number]] >= PASSAGE_WORDS
     first, last = first[number], last[np.concatenate((number[1:] - 1, [len(last) - 1]))]
-    fits = last - first >= PASSAGE_WORDS
     rows = []
     for b, e in zip((first[fits] + base).tolist(), (last[fits] + base).tolist()):
         gone = bool(state[b - base] == 2)

@@ -287,6 +287,21 @@ def test_passages_without_sentence_ends_are_found_whole(spark):
         assert first - 12 <= r["first_word"] <= first and first + n <= r["first_word"] + r["n_words"] <= first + n + 12
 
 
+def test_a_passage_of_which_a_part_is_removed_is_reported_whole(spark):
+    rng = random.Random(23)
+
+    def sentence(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n)) + "."
+
+    one, two, three = (sentence(20) for _ in range(3))
+    passage = f"{one} {two} {three}"
+    rows = [(3, f"{sentence(15)} {two} {sentence(15)}"), (5, f"{sentence(10)} {passage}"), (9, f"{passage} {sentence(10)}")]
+    got = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "first_word", "n_words", "kept_doc_id", "removed") == [
+        (5, 10, 20, 5, False), (5, 30, 20, 3, True), (5, 50, 20, 5, False), (9, 0, 60, 5, True)
+    ]
+
+
 def test_bands_keep_the_recall_they_are_tuned_for():
     bands = paragraphs.tuned_bands(80, 0.002, 3)
     assert (1 - 0.8**3) ** bands <= 0.002 < (1 - 0.8**3) ** (bands - 1)
