@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -52,7 +53,8 @@ class NoticeSearch:
 
     A notice is split into k + 1 pieces, so k edits leave one piece untouched.
     All pieces are sought together; around each, the bounded-error matcher
-    verifies the notice and reports its best span.
+    verifies the notice and reports its best span.  Of spans of one notice that
+    overlap the one with the fewest edits stays; neighbours share a space.
     """
 
     def __init__(self, notices: Mapping[str, str], error_share: float):
@@ -74,29 +76,32 @@ class NoticeSearch:
         self.seeds.make_automaton()
 
     def windows(self, text: str) -> Iterator[tuple[int, int, int]]:
-        """Parts of the text that may hold a notice: number, begin and end, disjoint per notice."""
-        found: dict[int, list[tuple[int, int]]] = {}
+        """Parts of the text that may hold a notice: number, begin and end, one per place of a piece."""
+        found = set()
         for last, (length, owners) in self.seeds.iter(text):
             for number, offset in owners:
-                begin = last + 1 - length - offset
-                k = self.errors[number]
-                found.setdefault(number, []).append((begin - k, begin + len(self.texts[number]) + k))
-        for number, spans in found.items():
-            spans.sort()
-            begin, end = spans[0]
-            for b, e in spans[1:]:
-                if b > end:
-                    yield number, max(begin, 0), end
-                    begin, end = b, e
-                end = max(end, e)
-            yield number, max(begin, 0), end
+                found.add((number, last + 1 - length - offset))
+        for number, begin in sorted(found):
+            k = self.errors[number]
+            yield number, max(begin - k, 0), begin + len(self.texts[number]) + k
 
     def matches(self, text: str) -> list[Match]:
-        found = []
+        spans: dict[int, set[tuple[int, int, int]]] = {}
         for number, begin, end in self.windows(text):
-            for hit in self.patterns[number].finditer(text, begin, min(end, len(text)), overlapped=False):
-                edits = sum(hit.fuzzy_counts)
-                found.append(Match(self.labels[number], hit.start(), hit.end(), edits, len(self.texts[number])))
+            hit = self.patterns[number].search(text, begin, min(end, len(text)))
+            if hit:
+                spans.setdefault(number, set()).add((sum(hit.fuzzy_counts), hit.start(), hit.end()))
+        found = []
+        for number, own in spans.items():
+            begins: list[int] = []
+            ends: list[int] = []
+            for edits, begin, end in sorted(own):
+                at = bisect_left(begins, begin)
+                if (at and ends[at - 1] - begin > 1) or (at < len(begins) and end - begins[at] > 1):
+                    continue
+                begins.insert(at, begin)
+                ends.insert(at, end)
+                found.append(Match(self.labels[number], begin, end, edits, len(self.texts[number])))
         return found
 
 

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from rebasket.llm import decontaminate, toxicity
 from rebasket.llm.decontaminate import clean, contamination_digest, find_contamination, phrases_of, search_texts
 from rebasket.llm.fm_index import FmIndex
-from rebasket.llm.licences import scan_licences
+from rebasket.llm.licences import ERROR_SHARE, NOTICES, NoticeSearch, scan_licences
 from rebasket.llm.text import plain_words
 from rebasket.llm.tokens import Counter, count_tokens, proven_strings
 
@@ -96,6 +96,27 @@ def test_notices_with_errors_are_found(spark):
     assert got[5]["labels"] == "" and got[5]["score"] == 0
 
 
+def test_notices_with_errors_are_found_beside_better_ones():
+    search = NoticeSearch(NOTICES, ERROR_SHARE)
+    notice = list(NOTICES)[1]
+    wrong = notice.replace("hereby", "herby")
+    twice = wrong.replace("obtaining", "obtainin")
+    for parts, label in (
+        (["mit licence", "mit license"], "mit"),
+        ([wrong, notice], "mit"),
+        ([wrong, twice, notice], "mit"),
+        ([notice, wrong, notice, twice], "mit"),
+        (["all rights reservd", "all rights reserved", "all right reserved"], "proprietary"),
+    ):
+        text, expected = " ", []
+        for part in parts:
+            expected.append((label, len(text) - 1, len(text) + len(part) + 1))
+            text += part + " "
+        found = sorted(search.matches(text), key=lambda m: m.begin)
+        assert [(m.label, m.begin, m.end) for m in found] == expected
+        assert [m.edits == 0 for m in found] == [p in NOTICES for p in parts]
+
+
 # Decontamination
 
 
