@@ -22,8 +22,6 @@ HEAD_WORDS = 200_000
 HEAD_BYTES = 64
 """Longer words are never sent, so the head has a bounded size."""
 SEGMENT = 256
-TRAIN_SHARE = 4
-"""One in so many segments of the training texts, by hash, moves the recurrent weights."""
 WARM_SEGMENTS = 4096
 """Segments from which one task makes the weights that all workers start from."""
 WORKER_SEGMENTS = 8192
@@ -126,25 +124,24 @@ def _coded(texts: list[list[bytes]], codes: dict[bytes, int]) -> tuple[list[np.n
 
 
 def _segments(docs: DataFrame, known: Vocabulary) -> DataFrame:
-    """order (a hash) and tokens of one in ``TRAIN_SHARE`` segments of all texts."""
+    """order and tokens of every segment of all texts; the order, a hash with the row's number, spreads copies."""
     sent = docs.sparkSession.sparkContext.broadcast(known.codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = sent.value
         for part in slices(batches):
             orders, tokens = [], []
-            for text in part.column("text").to_pylist():
+            for text, row in zip(part.column("text").to_pylist(), part.column("row").to_pylist()):
                 words = [*spaced_words(text), END_WORD]
                 for at in range(0, len(words), SEGMENT):
                     own = words[at : at + SEGMENT]
-                    order = xxhash.xxh3_64_intdigest(b" ".join(own))
-                    if order % TRAIN_SHARE == 0:
-                        orders.append(order)
-                        tokens.append(np.fromiter((codes.get(w, gru.UNKNOWN) for w in own), np.int16, len(own)).tobytes())
+                    orders.append(xxhash.xxh3_64_intdigest(b" ".join(own), row))
+                    tokens.append(np.fromiter((codes.get(w, gru.UNKNOWN) for w in own), np.int16, len(own)).tobytes())
             order = (np.array(orders, np.uint64) >> np.uint64(2)).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"order": order, "tokens": pa.array(tokens, pa.binary())})
 
-    return with_bytes(docs).mapInArrow(run, "order long, tokens binary")
+    numbered_rows = docs.withColumn("row", F.monotonically_increasing_id())
+    return with_bytes(numbered_rows, "row").mapInArrow(run, "order long, tokens binary")
 
 
 def _trained(segments: DataFrame, start: bytes, rate: float) -> DataFrame:
@@ -192,7 +189,7 @@ def fit(docs: DataFrame, known: Vocabulary) -> bytes:
 
     One task warms the weights up on a bounded share of the segments; then each
     worker learns from its part and the weights are averaged, so the work is
-    spread and grows with the input.
+    spread and grows with the input.  Every segment is learned from.
     """
     start = gru.packed(gru.fresh(known.log_share))
     segments = hand_over(_segments(docs, known), "segments").read(docs.sparkSession)

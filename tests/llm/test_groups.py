@@ -450,6 +450,23 @@ def test_gradients_against_differences():
         assert seen[name][place] == pytest.approx((both[0] - both[1]) / 2e-4, rel=0.02, abs=2e-3)
 
 
+def test_every_segment_of_the_training_texts_is_learned_from(spark, monkeypatch):
+    docs = plain_table(spark).filter(lm.training())
+    known = lm.vocabulary(lm.token_counts(docs))
+    tokens = sum(len(spaced(r["text"])) + 1 for r in docs.collect())
+    learned, train = [], lm._trained
+    segments = lm._segments(docs, known)
+    assert segments.agg(F.sum(F.octet_length("tokens")) / 2).first()[0] == tokens
+
+    def counted(*args):
+        learned.append(train(*args))
+        return learned[-1]
+
+    monkeypatch.setattr(lm, "_trained", counted)
+    lm.fit(docs, known)
+    assert learned[-1].agg(F.sum("n")).first()[0] == tokens
+
+
 def test_learning_beats_the_shares_of_words():
     rng = np.random.default_rng(7)
     texts = [np.tile(rng.permutation(np.arange(2, 12)), 8).astype(np.int16) for _ in range(3)] * 40
