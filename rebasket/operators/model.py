@@ -158,7 +158,9 @@ def fit_model(
     # Three passes of the fit read the prepared rows: classes, bins and trees.
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return PipelineModel([*inputs.stages, forest.fit(prepared)])
+        # A copy has no training summary.  The summary holds the session, which
+        # cannot travel to the tasks once any query of it has been observed.
+        return PipelineModel([*inputs.stages, forest.fit(prepared).copy()])
     finally:
         prepared.unpersist()
 

@@ -72,6 +72,19 @@ def test_training_measures_saves_and_scores(spark, features, tmp_path):
         )
 
 
+def test_training_after_an_observed_query(spark, features):
+    """A session that has observed a query still trains, and scores with the fitted model."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get["rows"] == 10
+    trained = train(features, model=SMALL)
+    assert not trained.model.stages[-1].hasSummary
+    assert trained.validation.count() == 400
+    assert predict(trained.model, features).filter("prediction is null").count() == 0
+
+
 def test_one_class_has_no_auc(features):
     ones = features.filter("reordered = 1")
     assert set(train(ones, model=SMALL).metrics) == {"accuracy"}
