@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebasket.session import hand_over
@@ -10,11 +10,10 @@ from rebasket.session import hand_over
 
 def _stored(links: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
     """The links, written once, with their number and a sum over their hashes."""
-    seen = Observation()
+    stored = hand_over(links, "links").read(links.sparkSession)
     hashed = F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))
-    watched = links.observe(seen, F.count(F.lit(1)).alias("rows"), hashed.alias("sum"))
-    stored = hand_over(watched, "links").read(links.sparkSession)
-    return stored, (seen.get["rows"], int(seen.get["sum"] or 0))
+    rows, total = stored.agg(F.count(F.lit(1)), hashed).first()
+    return stored, (rows, int(total or 0))
 
 
 def components(links: DataFrame) -> DataFrame:
