@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rebasket.llm.align import align_texts
 from rebasket.llm.decontaminate import contamination_digest, find_contamination
 from rebasket.llm.licences import scan_licences
 from rebasket.llm.lm import score_texts
@@ -167,3 +168,10 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents"))
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    texts, _ = align_texts(table(spark, folder, "documents"), *files)
+    return texts
