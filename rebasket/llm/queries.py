@@ -19,6 +19,7 @@ from rebasket.llm.sharding import shard_documents
 from rebasket.llm.tokens import count_tokens
 from rebasket.llm.topk import top_k
 from rebasket.llm.toxicity import fit, held_out, score_toxicity
+from rebasket.llm.warc import archived_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +176,23 @@ def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     texts, _ = align_texts(table(spark, folder, "documents"), *files)
     return texts
+
+
+@query
+def op12_web_archives(spark: SparkSession, folder: str) -> DataFrame:
+    return archived_pages(table(spark, folder, "pages"))
+
+
+ORACLES["op12_web_archives"] = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest FROM pages
+), heads AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes)
+    ELSE page_id END AS head FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN head <> page_id THEN head END AS refers_to
+FROM heads
+"""
