@@ -15,6 +15,7 @@ from rebasket.llm.lm import score_texts
 from rebasket.llm.minhash import near_duplicates
 from rebasket.llm.mixing import mix, mixed_words
 from rebasket.llm.paragraphs import repeated_passages
+from rebasket.llm.phrases import phrases
 from rebasket.llm.sharding import shard_documents
 from rebasket.llm.tokens import count_tokens
 from rebasket.llm.topk import top_k
@@ -196,3 +197,44 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN head <> page_id THEN head END AS refers_to
 FROM heads
 """
+
+
+@query
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases(table(spark, folder, "documents"))
+
+
+ORACLES["op13_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents
+), sizes AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), frequent AS (
+  SELECT lang, w[k:k + m - 1] AS words, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM pieces, range(1, 5) AS t(m))
+  GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.words, c.f AS a, x.f AS l, y.f AS r, cut,
+    CAST(CAST(2000000 AS HUGEINT) * c.f // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(words))) AS cut FROM frequent WHERE len(words) > 1) c
+  JOIN frequent x ON x.lang = c.lang AND x.words = c.words[:cut]
+  JOIN frequent y ON y.lang = c.lang AND y.words = c.words[cut + 1:]
+), scored AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) AS place FROM cuts)
+  WHERE place = 1
+), around AS (
+  SELECT lang, inner_words AS words, max(a) AS around
+  FROM (SELECT lang, a, words[k:k + m - 1] AS inner_words
+    FROM (SELECT lang, a, words, m, unnest(range(1, len(words) - m + 2)) AS k
+      FROM scored, range(2, 4) AS t(m) WHERE m < len(words)))
+  GROUP BY ALL
+), ranked AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank
+  FROM scored LEFT JOIN around USING (lang, words)
+  WHERE NOT coalesce(100 * around >= 80 * a, false)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
