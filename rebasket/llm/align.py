@@ -20,6 +20,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from sentencepiece import SentencePieceProcessor
 
 from rebasket.llm.text import slices, with_bytes
-from rebasket.llm.tokens import _byte_letters, _library
+from rebasket.llm.tokens import PRE_TOKENS, _byte_letters, _library
 from rebasket.session import hand_over
 
 CHUNK_TEXTS = 1 << 16
@@ -37,6 +38,8 @@ CHUNK_POSTINGS = 1 << 21
 """A chunk is closed at the first slice of texts beyond so many postings."""
 ARRAY_MOST = 4096
 """Bitmaps of fewer texts list their places, the others have a bit per place."""
+SLICE_BYTES = 1 << 20
+"""Text that is encoded at once."""
 CACHE_UNITS = 150_000
 """Units whose links a task remembers before it starts afresh; longer ones are not kept."""
 CACHED_LETTERS = 100
@@ -51,6 +54,7 @@ _UNITS = re.compile(f"[{_BREAKS}]*[^{_BREAKS}]+|[{_BREAKS}]+")
 _ODD_SPACE = re.compile(
     "[\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028\\u2029\\u202f\\u205f\\u2060\\u3000\\ufeff]"
 )
+_LAST_PLAIN = "\u024f"  # letters up to here are classed alike by all libraries
 _SPACE_MARK = "▁"
 _BEFORE = "a"  # one token of its own, put before units without a leading space
 
@@ -86,7 +90,8 @@ class _Side:
         if len(contents) >= 1 << _ID_BITS:
             raise ValueError(f"more than {1 << _ID_BITS} token ids")
         self.contents = contents
-        self.sizes = np.array([len(c) for c in contents], np.int64)
+        self.lengths = [len(c) for c in contents]
+        self.sizes = np.array(self.lengths, np.int64)
         self.names = [str(k).encode() for k in range(len(contents))]
         self.widths = np.array([len(n) for n in self.names], np.int64)
 
@@ -115,23 +120,49 @@ class Aligner:
         for entry, k in vocabulary.items():
             contents[k] = b"".join(letters.get(c, c.encode()) for c in entry)
         self.a = _Side(contents)
+        self.ranks = self._ranks(json.loads(description)["model"])
         self.b = _Side([_piece_bytes(self.right, k) for k in range(self.right.get_piece_size())])
         self.cut = whole_units(self.right)
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
-    def encode(self, units: list[str], whole: bool) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of both sides; a whole text lacks the leading space the second side adds."""
-        left = [e.ids for e in self.left.encode_batch_fast(units, add_special_tokens=False)]
-        bare = [whole or (u[0] == " " and len(u) > 1) for u in units]
+    def _ranks(self, model: dict) -> tiktoken.Encoding | None:
+        """The same merges as ranks, if each merge makes the next id: much faster on short units."""
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        made = [model["vocab"][x + y] for x, y in pairs]
+        ranks = {c: k for k, c in enumerate(self.a.contents) if c and k not in self.left.get_added_tokens_decoder()}
+        if made != sorted(made) or len(made) + 256 != len(ranks):
+            return None
+        return tiktoken.Encoding("left", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+    def _encode_left(self, units: list[str]) -> list[list[int]]:
+        if not self.ranks:
+            return [e.ids for e in self.left.encode_batch_fast(units, add_special_tokens=False)]
+        found = list(map(self.ranks.encode_ordinary, units))
+        odd = [k for k, u in enumerate(units) if not u.isascii() and max(u) > _LAST_PLAIN]
+        for k, e in zip(odd, self.left.encode_batch_fast([units[k] for k in odd], add_special_tokens=False)):
+            found[k] = e.ids
+        return found
+
+    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of both sides for units of a text."""
+        bare = [u[0] == " " and len(u) > 1 for u in units]  # the second side adds the space
         given = [u[1:] if b else _BEFORE + u for u, b in zip(units, bare)]
         right = self.right.encode(given, num_threads=1) if given else []
-        return left, [ids if b else ids[1:] for ids, b in zip(right, bare)]
-
-    def _joins(self, unit: bytes, left: list[int], right: list[int]) -> bool:
-        return (
-            b"".join(map(self.a.contents.__getitem__, left)) == unit
-            and b"".join(map(self.b.contents.__getitem__, right)) == unit
+        return self._encode_left(units), [ids if b else ids[1:] for ids, b in zip(right, bare)]
+
+    def encode_whole(self, text: str) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of both sides for a whole text."""
+        left = self.left.encode(" " + text, add_special_tokens=False).ids
+        return [left], [self.right.encode(text)]
+
+    def _joins(self, units: list[bytes], left: list[list[int]], right: list[list[int]]) -> bool:
+        """Whether the tokens of both sides, joined, are the units."""
+        whole = b"".join(units)
+        return all(
+            b"".join(map(side.contents.__getitem__, chain.from_iterable(ids))) == whole
+            and [sum(map(side.lengths.__getitem__, i)) for i in ids] == list(map(len, units))
+            for side, ids in ((self.a, left), (self.b, right))
         )
 
     def link(self, units: list[bytes], left: list[list[int]], right: list[list[int]]) -> Units:
@@ -178,38 +209,41 @@ class Aligner:
         starts = np.append(np.searchsorted(of_a[x], first), len(x))
         return Units(sizes, groups, starts, codes, times_a[x] * times_b[y])
 
-    def records(self, units: list[str], whole: bool = False) -> list[tuple | None]:
+    def records(self, units: list[str], left: list[list[int]], right: list[list[int]]) -> list[tuple | None]:
         """Per unit: sizes, groups, codes and times as bytes; None where joined tokens differ from it."""
-        if not units:
-            return []
-        left, right = self.encode(units, whole)
         plain = [u.encode() for u in units]
-        good = [k for k, u in enumerate(plain) if self._joins(u, left[k], right[k])]
-        made = self.link([plain[k] for k in good], [left[k] for k in good], [right[k] for k in good])
-        codes, times = made.codes.tobytes(), made.times.tobytes()
+        good = range(len(units))
+        if not self._joins(plain, left, right):
+            good = [k for k in good if self._joins([plain[k]], [left[k]], [right[k]])]
+            plain, left, right = ([side[k] for k in good] for side in (plain, left, right))
         found: list[tuple | None] = [None] * len(units)
+        if not plain:
+            return found
+        made = self.link(plain, left, right)
+        codes, times = made.codes.tobytes(), made.times.tobytes()
         bounds = (made.starts * 8).tolist()
-        for place, k in enumerate(good):
-            x, y = bounds[place], bounds[place + 1]
-            found[k] = (*made.sizes[place].tolist(), made.groups[place], codes[x:y], times[x:y])
+        for k, sizes, groups, x, y in zip(good, made.sizes.tolist(), made.groups, bounds, bounds[1:]):
+            found[k] = (sizes, groups, codes[x:y], times[x:y])
         return found
 
-    def remember(self, units: dict[str, None]) -> dict[str, tuple | None]:
+    def remember(self, units: dict[str, None]) -> list[tuple | None]:
         """The records of ``units``, each encoded once per task while it is remembered."""
         if len(self.known) > CACHE_UNITS:
             self.older, self.known = self.known, {}
-        found, new = {}, []
-        for unit in units:
-            record = self.known.get(unit) or self.older.get(unit)
-            if record is None:
-                new.append(unit)
-            else:
-                found[unit] = record
-                self.known[unit] = record
-        for unit, record in zip(new, self.records(new)):
-            found[unit] = record
-            if record and len(unit) <= CACHED_LETTERS:
-                self.known[unit] = record
+        known, older = self.known, self.older
+        new = [u for u in units if u not in known]
+        for unit in new:
+            if unit in older:
+                known[unit] = older[unit]
+        new = [u for u in new if u not in known]
+        kept_not = []
+        for unit, record in zip(new, self.records(new, *self.encode(new))):
+            known[unit] = record
+            if len(unit) > CACHED_LETTERS:
+                kept_not.append(unit)
+        found = list(map(known.__getitem__, units))
+        for unit in kept_not:
+            del known[unit]
         return found
 
     def texts(self, texts: list[bytes | None]) -> Units:
@@ -217,25 +251,41 @@ class Aligner:
         strings = [_string(t) for t in texts]
         cut = [bool(s) and self.cut and not _ODD_SPACE.search(s) and _SPACE_MARK not in s for s in strings]
         units = [_UNITS.findall(" " + s) if c else [] for s, c in zip(strings, cut)]
-        found = self.remember(dict.fromkeys(chain.from_iterable(units)))
+        distinct = dict.fromkeys(chain.from_iterable(units))
+        records = self.remember(distinct)
+        number = dict(zip(distinct, range(len(distinct))))
+        lost = {u for u, r in zip(distinct, records) if r is None}
         rows = []
-        for k, string in enumerate(strings):
-            own = [found[u] for u in units[k]]
-            if not cut[k] or None in own:
-                record = self.records([" " + string], whole=True)[0] if string else None
-                own = [record] if record else []
-            rows.append(own)
-        sizes = np.zeros((len(texts), 4), np.int64)
-        for k, own in enumerate(rows):
-            if own:
-                sizes[k] = np.array([r[:4] for r in own], np.int64).sum(0)
-        groups = [hashlib.sha256(b";".join([r[4] for r in own])).hexdigest() if own else "" for own in rows]
-        flat = list(chain.from_iterable(rows))
-        codes = np.frombuffer(b"".join([r[5] for r in flat]), np.int64)
-        times = np.frombuffer(b"".join([r[6] for r in flat]), np.int64)
-        links = [sum([len(r[5]) for r in own]) // 8 for own in rows]
-        starts = np.concatenate([[0], np.cumsum(links)]).astype(np.int64)
-        return Units(sizes, groups, starts, codes, times)
+        for string, own, alone in zip(strings, units, cut):
+            if alone and not (lost and lost.intersection(own)):
+                rows.append(list(map(number.__getitem__, own)))
+            elif string:
+                record = self.records([" " + string], *self.encode_whole(string))[0]
+                rows.append([len(records)] if record else [])
+                records += [record] if record else []
+            else:
+                rows.append([])
+        records = [r or ([0] * 4, b"", b"", b"") for r in records]
+        flat = np.fromiter(chain.from_iterable(rows), np.int64)
+        ends = np.cumsum([len(r) for r in rows])
+
+        def per_text(values: np.ndarray) -> np.ndarray:
+            total = np.concatenate([np.zeros_like(values[:1], shape=(1, *values.shape[1:])), np.cumsum(values, 0)])
+            return np.diff(total[np.concatenate([[0], ends])], axis=0)
+
+        sizes = np.array([r[0] for r in records], np.int64).reshape(-1, 4)
+        named = [r[1] for r in records]
+        groups = [
+            hashlib.sha256(b";".join(map(named.__getitem__, r))).hexdigest() if r else "" for r in rows
+        ]
+        codes = np.frombuffer(b"".join([r[2] for r in records]), np.int64)
+        times = np.frombuffer(b"".join([r[3] for r in records]), np.int64)
+        links = np.array([len(r[2]) // 8 for r in records], np.int64)
+        first = np.cumsum(links) - links
+        run, place = _expanded(links[flat])
+        taken = first[flat][run] + place
+        starts = np.concatenate([[0], np.cumsum(per_text(links[flat]))])
+        return Units(per_text(sizes[flat]), groups, starts, codes[taken], times[taken])
 
 
 def _string(text: bytes | None) -> str:
@@ -380,7 +430,7 @@ def build_index(docs: DataFrame, description: str, model: bytes, keep: tuple[str
                     yield whole.slice(start, 20_000)
 
         for batch in batches:
-            for part in slices([batch]):
+            for part in slices([batch], SLICE_BYTES):
                 aligner = aligner or Aligner(*sent.value)
                 if chunk.texts + part.num_rows > CHUNK_TEXTS or chunk.postings > CHUNK_POSTINGS:
                     yield from close(chunk)

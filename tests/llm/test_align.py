@@ -90,12 +90,10 @@ def ordered(rows) -> list:
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_links_are_those_counted_one_by_one(spark, monkeypatch, small):
-    if small:  # many chunks, dense bitmaps, a cache that is dropped again and again
-        monkeypatch.setattr(align, "CHUNK_POSTINGS", 200)
-        monkeypatch.setattr(align, "ARRAY_MOST", 3)
-        monkeypatch.setattr(align, "CACHE_UNITS", 20)
+@pytest.mark.parametrize("postings", [align.CHUNK_POSTINGS, 200])
+def test_links_are_those_counted_one_by_one(spark, monkeypatch, postings):
+    monkeypatch.setattr(align, "CHUNK_POSTINGS", postings)  # many chunks
+    monkeypatch.setattr(align, "SLICE_BYTES", 8 * postings)
     texts, pairs = align_texts(odd_documents(spark), *FILES)
     rows, counts = Plain().rows([r[:2] for r in odd_rows()])
     assert tuple(texts.columns) == COLUMNS
@@ -113,17 +111,32 @@ def test_odd_texts(spark):
     assert ordered(map(tuple, align_texts(docs, *FILES)[0].collect())) == ordered(rows)
 
 
-def test_units_encode_as_the_whole_text():
+def test_bitmaps(monkeypatch):
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 9, 40_000) ** 4 << 16 | rng.integers(0, 1 << 16, 40_000))
+    for most in (align.ARRAY_MOST, 3, 50_000):
+        monkeypatch.setattr(align, "ARRAY_MOST", min(most, 4096))
+        codes, held, bits = align._bitmaps(keys >> 16, keys & 0xFFFF)
+        for part in (slice(0, None), slice(2, 5)):
+            slots, owners = align._places(bits[part])
+            back = np.sort(codes[part][owners] << 16 | slots)
+            assert back.tolist() == keys[np.isin(keys >> 16, codes[part])].tolist()
+        assert held.sum() == len(keys)
+
+
+def test_units_encode_as_the_whole_text(monkeypatch):
+    monkeypatch.setattr(align, "CACHE_UNITS", 20)  # dropped again and again
     rng = random.Random(5)
     with open(FILES[0], encoding="utf-8") as file:
         aligner = Aligner(file.read(), open(FILES[1], "rb").read())
     assert aligner.cut and whole_units(aligner.right)
     plain, letters = Plain(), [*"ab cd   \n\t.,'1e\u00e9\u6f22", "the", " of", "\x0b", "\x0c", "\r", "it's", "--"]
     texts = ["".join(rng.choices(letters, k=rng.randint(1, 30))) for _ in range(1500)]
-    made = aligner.texts([t.encode() for t in texts])
+    made = [aligner.texts([t.encode() for t in texts[k : k + 50]]) for k in range(0, 1500, 50)]
+    sizes = np.concatenate([m.sizes for m in made])
     for k, text in enumerate(texts):
         groups = plain.groups(text)
-        assert made.sizes[k, :3].tolist() == [sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups)]
+        assert sizes[k, :3].tolist() == [sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups)]
 
 
 def test_no_texts(spark):
