@@ -201,6 +201,8 @@ def write_archives(
         .filter("rows > 1")
         .select("digest", "size", F.col("head.row").alias("head"), F.col("head.page_id").alias("head_id"))
     )
+    # Stored, so that its size is known before the pages would be shuffled.
+    heads = hand_over(heads, "heads").read(spark)
     joined = stored.join(heads, ["digest", "size"], "left").select(
         "row",
         F.col("page_id").cast("string").alias("page_id"),
@@ -314,7 +316,9 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
             yield batch_of(rows)
 
     found = archives.select("path").mapInArrow(directories, "path string, start long, lengths array<long>")
-    return found.repartition("path", "start").mapInArrow(records, columns)
+    # A number of its own: the rows of a run are small, what they stand for is not.
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(tasks, "path", "start").mapInArrow(records, columns)
 
 
 def restored_pages(records: DataFrame) -> DataFrame:
