@@ -196,10 +196,16 @@ def centroids(vectors: DataFrame, group: str, width: int) -> DataFrame:
 # --- text ---
 
 
+TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
 def term_counts(texts: DataFrame, id_column: str, text_column: str = "text") -> DataFrame:
-    """(id, term, n): how often each text has each term; letters A-Z and digits, lower-cased."""
+    """(id, term, n): how often each text has each term; A-Z are lower-cased.
+
+    Terms are runs of ASCII letters and digits and of all characters beyond ASCII.
+    """
     lower = F.translate(text_column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    terms = F.regexp_extract_all(lower, F.lit("([a-z0-9]+)"), F.lit(1))
+    terms = F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))
     return (
         texts.select(F.col(id_column).alias("id"), F.explode(terms).alias("term"))
         .groupBy("id", "term")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from rebasket.operators.features import build_features
 from rebasket.operators.joined import build_joined
 from rebasket.operators.model import Trained, train
-from rebasket.session import Handover, configure, hand_over, new_path
+from rebasket.operators.text_index import TextIndex, build_text_index
+from rebasket.session import Handover, configure, hand_over, new_path, spread_rows
 from rebasket.sources.runs import save_model
 from rebasket.sources.star import StagedTables, stage_star
 
@@ -107,6 +108,11 @@ class Workbench:
         save_model(self.spark, root, "reorder_model", self.trained.model, "workbench")
         return root
 
+    @cached_property
+    def text_index(self) -> TextIndex:
+        documents = spread_rows(self.raw("documents").select("doc_id", "text"))
+        return build_text_index(documents, new_path(self.spark, "text-index"), "doc_id")
+
     def scratch(self, name: str) -> str:
         return new_path(self.spark, name)
 

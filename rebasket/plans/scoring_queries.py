@@ -24,6 +24,7 @@ from rebasket.operators.drift import flag_drift
 from rebasket.operators.quality import split_valid, validate, violations
 from rebasket.operators.similarity import centroids, text_top_k, top_k_similar
 from rebasket.operators.statistics import accuracy, roc_auc
+from rebasket.operators.text_index import search_index
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
 from rebasket.schemas import RECORD_FIELDS
 from rebasket.session import spread_rows
@@ -295,12 +296,11 @@ def topk_similar(bench: Workbench) -> DataFrame:
     return top_k_similar(corpus, centres).select("query_id", "doc_id", "rank")
 
 
-_TERMS = """SELECT {id} AS id, unnest(regexp_extract_all(translate(text,
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')) AS term FROM {table}"""
+_TERMS = r"""SELECT {id} AS id, unnest(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM {table}"""
 
 
-@query(
-    f""", doc_terms AS (
+_TEXT_TOPK = f""", doc_terms AS (
       SELECT id, term, count(*) AS n FROM ({_TERMS.format(id="doc_id", table="documents")}) GROUP BY ALL
     ), holding AS (
       SELECT term, count(*) AS holding FROM doc_terms GROUP BY term
@@ -325,9 +325,18 @@ _TERMS = """SELECT {id} AS id, unnest(regexp_extract_all(translate(text,
       SELECT query_id, doc_id,
         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
       FROM cosines) WHERE rank <= 4"""
-)
+
+
+@query(_TEXT_TOPK)
 def text_topk(bench: Workbench) -> DataFrame:
     """The four documents nearest to each benchmark passage, by the terms of whole texts."""
     documents = spread_rows(bench.raw("documents").select("doc_id", "text"))
     found = text_top_k(documents, bench.raw("benchmark"), "doc_id", "item_id")
     return found.select("query_id", "doc_id", "rank")
+
+
+@query(_TEXT_TOPK)
+def text_index_topk(bench: Workbench) -> DataFrame:
+    """The same neighbours out of the stored index, which every question set can use."""
+    found = search_index(bench.text_index, bench.raw("benchmark"), "item_id")
+    return found.select("query_id", "doc_id", "rank")

@@ -79,6 +79,13 @@ def test_known_neighbours(spark):
     assert [r.doc_id for r in near.collect()] == [365, 334, 387, 423]
 
 
+TERMS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def lowered(text):
+    return "".join(c.lower() if c.isascii() else c for c in text or "")
+
+
 TEXTS = [
     (1, "red apple green apple"),
     (2, "Green pear"),
@@ -90,10 +97,10 @@ TEXTS = [
 
 
 def test_text_search_equals_brute_force(spark):
-    documents = spark.createDataFrame([*TEXTS, (7, None), (8, "Zug-FAHRT 2 zug")], "id long, text string")
-    questions = spark.createDataFrame([(1, "apple TREE"), (2, "zug"), (3, "unknown"), (4, None)], "q long, text string")
-    counts = {r["id"]: Counter(re.findall("[a-z0-9]+", (r["text"] or "").lower())) for r in documents.collect()}
-    asked = {r["q"]: Counter(re.findall("[a-z0-9]+", (r["text"] or "").lower())) for r in questions.collect()}
+    documents = spark.createDataFrame([*TEXTS, (7, None), (8, "Zug-FAHRT 2 zug"), (9, "Straße über 漢字"), (10, "Привет Straße")], "id long, text string")
+    questions = spark.createDataFrame([(1, "apple TREE"), (2, "zug"), (3, "unknown"), (4, None), (5, "straße Straße 漢字"), (6, "Привет")], "q long, text string")
+    counts = {r["id"]: Counter(re.findall(TERMS, lowered(r["text"]))) for r in documents.collect()}
+    asked = {r["q"]: Counter(re.findall(TERMS, lowered(r["text"]))) for r in questions.collect()}
 
     def weights(found):
         holding = {t: sum(t in c for c in counts.values()) for t in found}
@@ -112,3 +119,40 @@ def test_text_search_equals_brute_force(spark):
         want += [(q, i, k + 1, pytest.approx(-s, abs=2e-9)) for k, (s, i) in enumerate(sorted(scored)[:2])]
     got = text_top_k(documents, questions, "id", "q", k=2).orderBy("query_id", "rank").collect()
     assert [tuple(r) for r in got] == want
+
+
+@pytest.mark.parametrize("head", [1, 3, 64])
+def test_index_search_equals_the_full_search(spark, tmp_path, head):
+    """Several question sets over one index; frequent terms, ties, heads shorter than k."""
+    from rebasket.operators.text_index import build_text_index, search_index
+
+    rng = np.random.default_rng(head)
+    words = [f"t{k}" for k in range(40)] + ["über", "漢字"]
+    weights = 1 / np.arange(1, len(words) + 1)
+
+    def texts(n, most):
+        drawn = [rng.choice(words, rng.integers(0, most), p=weights / weights.sum()) for _ in range(n)]
+        return [" ".join(d) for d in drawn]
+
+    rows = list(enumerate([*texts(150, 30), *["t0 t1 t5"] * 20, None, "", "!"]))
+    documents = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    index = build_text_index(documents, str(tmp_path / "index"), "id", head=head, shards=3)
+    for most in (3, 12):
+        questions = spark.createDataFrame(
+            [*enumerate(texts(12, most)), (98, None), (99, "nothing like it")], "q long, text string"
+        )
+        want = text_top_k(documents, questions, "id", "q", k=3).collect()
+        got = search_index(index, questions, "q", k=3).collect()
+        key = [(r.query_id, r["rank"], r.doc_id) for r in sorted(want, key=lambda r: (r.query_id, r["rank"]))]
+        assert key == [(r.query_id, r["rank"], r.doc_id) for r in sorted(got, key=lambda r: (r.query_id, r["rank"]))]
+        scores = {(r.query_id, r.doc_id): r.score for r in want}
+        assert all(abs(r.score - scores[r.query_id, r.doc_id]) <= 2e-9 for r in got) and len(want) > 20
+
+
+def test_index_of_nothing(spark, tmp_path):
+    from rebasket.operators.text_index import build_text_index, search_index
+
+    empty = spark.createDataFrame([], "id long, text string")
+    index = build_text_index(empty, str(tmp_path / "index"), "id")
+    asked = spark.createDataFrame([(1, "a")], "q long, text string")
+    assert search_index(index, asked, "q").count() == 0
