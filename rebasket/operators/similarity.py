@@ -25,6 +25,7 @@ from rebasket.session import hand_over
 MAX_QUERY_ROWS = 4096
 MAX_QUERY_VALUES = 8_000_000  # 64 MB of doubles
 MAX_SHARD_VALUES = 16_000_000
+MAX_BLOCK_VALUES = 2_000_000  # distances that a task holds at once
 
 # Task functions travel by value, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -63,8 +64,12 @@ class _Best:
         self.found: list[list[tuple]] = [[] for _ in query_ids]
 
     def add(self, ids: pa.Array, docs: np.ndarray) -> None:
-        if not len(docs) or not self.query_ids:
-            return
+        # Bounded blocks of rows: the distances of one block are all that is held.
+        step = max(1, MAX_BLOCK_VALUES // max(len(self.query_ids), 1))
+        for start in range(0, len(docs), step):
+            self._add(ids.slice(start, step), docs[start : start + step])
+
+    def _add(self, ids: pa.Array, docs: np.ndarray) -> None:
         lengths = np.einsum("ij,ij->i", docs, docs)
         rough = lengths[:, None] + np.einsum("ij,ij->i", self.queries, self.queries)
         rough = rough - 2.0 * (docs @ self.queries.T)

@@ -13,6 +13,7 @@ from rebasket.operators.features import build_features
 from rebasket.operators.joined import build_joined
 from rebasket.operators.model import Trained, train
 from rebasket.operators.text_index import TextIndex, build_text_index
+from rebasket.operators.vector_index import VectorIndex, build_vector_index
 from rebasket.session import Handover, configure, hand_over, new_path, spread_rows
 from rebasket.sources.runs import save_model
 from rebasket.sources.star import StagedTables, stage_star
@@ -113,6 +114,14 @@ class Workbench:
         documents = spread_rows(self.raw("documents").select("doc_id", "text"))
         return build_text_index(documents, new_path(self.spark, "text-index"), "doc_id")
 
+    @property
+    def vectors(self) -> DataFrame:
+        return self.raw("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+
+    @cached_property
+    def vector_index(self) -> VectorIndex:
+        return build_vector_index(self.vectors, new_path(self.spark, "vector-index"), cells=16)
+
     def scratch(self, name: str) -> str:
         return new_path(self.spark, name)
 

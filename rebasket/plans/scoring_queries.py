@@ -25,6 +25,7 @@ from rebasket.operators.quality import split_valid, validate, violations
 from rebasket.operators.similarity import centroids, text_top_k, top_k_similar
 from rebasket.operators.statistics import accuracy, roc_auc
 from rebasket.operators.text_index import search_index
+from rebasket.operators.vector_index import probes_for, search_cells
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
 from rebasket.schemas import RECORD_FIELDS
 from rebasket.session import spread_rows
@@ -296,6 +297,35 @@ def topk_similar(bench: Workbench) -> DataFrame:
     return top_k_similar(corpus, centres).select("query_id", "doc_id", "rank")
 
 
+@query(
+    f""", pairs AS (
+      SELECT q.vec_id AS query_id, d.vec_id AS doc_id,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY
+          list_sum(list_transform(range(1, {_WIDTH + 1}),
+            lambda i: (CAST(d.embedding[i] AS DOUBLE) - q.embedding[i])
+              * (CAST(d.embedding[i] AS DOUBLE) - q.embedding[i]))), d.vec_id) AS rank
+      FROM embeddings q, embeddings d WHERE q.vec_id <> d.vec_id
+    )
+    SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank FROM pairs WHERE rank <= 4"""
+)
+def topk_self_join(bench: Workbench) -> DataFrame:
+    """The four nearest other vectors of every vector, by the cells of the stored index."""
+    found = search_cells(bench.vector_index, bench.vectors, skip_self=True)
+    return found.select("query_id", "doc_id", "rank")
+
+
+@query("SELECT count(*) AS queries, true AS enough FROM embeddings")
+def topk_indexed_recall(bench: Workbench) -> DataFrame:
+    """Whether visiting only the nearest cells finds 90 % of the exact neighbours."""
+    index, vectors = bench.vector_index, bench.vectors
+    probes = probes_for(index, vectors, skip_self=True)
+    near = search_cells(index, vectors, skip_self=True, first=probes, exact=False).select("query_id", "doc_id")
+    exact = search_cells(index, vectors, skip_self=True).select("query_id", "doc_id")
+    hits = exact.join(near.withColumn("hit", F.lit(1)), ["query_id", "doc_id"], "left")
+    share = F.avg(F.coalesce("hit", F.lit(0)))
+    return hits.agg(F.countDistinct("query_id").alias("queries"), (share >= 0.9).alias("enough"))
+
+
 _TERMS = r"""SELECT {id} AS id, unnest(regexp_extract_all(translate(text,
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM {table}"""
 

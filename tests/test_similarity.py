@@ -156,3 +156,40 @@ def test_index_of_nothing(spark, tmp_path):
     index = build_text_index(empty, str(tmp_path / "index"), "id")
     asked = spark.createDataFrame([(1, "a")], "q long, text string")
     assert search_index(index, asked, "q").count() == 0
+
+
+@pytest.mark.parametrize("skip_self", [False, True])
+def test_cells_give_the_nearest_rows(spark, vectors, tmp_path, skip_self):
+    """Every row as a query, ties, a cell that is dealt over shards, missing vectors."""
+    from rebasket.operators.vector_index import build_vector_index, search_cells
+
+    rows = vectors + [(1000 + k, [1.0] * 6) for k in range(60)]
+    frame = spark.createDataFrame([*rows, (5000, None)], "id long, vector array<double>").repartition(4)
+    index = build_vector_index(frame, str(tmp_path / "index"), cells=7, shard_rows=25)
+    assert index.rows(spark).count() == 360 and index.cells(spark).agg(F.max("shards")).first()[0] > 1
+    want = brute(rows, rows, 4, skip_self)
+    assert found(search_cells(index, frame, skip_self=skip_self, first=1)) == want
+    near = found(search_cells(index, frame, skip_self=skip_self, first=3, exact=False))
+    assert len({(q, d) for q, d, _ in near} & {(q, d) for q, d, _ in want}) > 0.6 * len(want)
+    assert found(search_cells(index, frame, k=400, first=1)) == brute(rows, rows, 400)
+
+
+def test_cells_of_nothing(spark, tmp_path):
+    from rebasket.operators.vector_index import build_vector_index, search_cells
+
+    empty = spark.createDataFrame([(1, None)], "id long, vector array<double>")
+    index = build_vector_index(empty, str(tmp_path / "index"))
+    asked = spark.createDataFrame([(1, [0.0])], "id long, vector array<double>")
+    assert search_cells(index, asked).count() == 0
+    one = build_vector_index(asked, str(tmp_path / "one"))
+    assert found(search_cells(one, asked)) == {(1, 1, 1)} and search_cells(one, empty).count() == 0
+
+
+def test_blocks_of_distances_do_not_change_the_result(spark, vectors, monkeypatch):
+    monkeypatch.setattr(similarity, "MAX_BLOCK_VALUES", 100)
+    best = similarity._Best([q for q, _ in vectors[:30]], np.array([v for _, v in vectors[:30]]), 4, True)
+    import pyarrow as pa
+
+    best.add(pa.array([i for i, _ in vectors]), np.array([v for _, v in vectors]))
+    got = {(best.query_ids[i], doc, rank) for i, f in enumerate(best.found) for rank, (_, doc) in enumerate(f, 1)}
+    assert got == brute(vectors, vectors[:30], 4, True)
