@@ -17,14 +17,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebasket.functions.hashing import row_hash
+from rebasket.operators.strata import split_by_strata
 
-MAX_CLASSES = 1000
+MAX_CLASSES = 1000  # more classes are split by joined tables
 BUCKET_DIGITS = 3  # 4,096 buckets per class and step
 HASH_DIGITS = 32
 MAX_RANKED = 1_000_000  # a bucket with more rows is divided again
 _NONE, _ALL = "", "~"  # below and above every hex digit
 
 
+class _ManyClasses(Exception):
+    """More classes than an expression should list."""
+
+
 def stratum_sizes(sizes: dict, total_wanted: int) -> dict:
     """Share ``total_wanted`` over the classes in proportion to their size.
 
@@ -103,7 +108,7 @@ def _take_per_class(
     try:
         totals = buckets.groupBy("_class").agg(F.sum("n").alias("n")).take(MAX_CLASSES + 1)
         if len(totals) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes; is the label right?")
+            raise _ManyClasses
         sizes = {row["_class"]: row["n"] for row in totals}
         wanted = choose(sizes)
         partly = {c: n for c, n in wanted.items() if 0 < n < sizes[c]}
@@ -152,4 +157,8 @@ def stratified_split(
         total = sum(sizes.values())
         return stratum_sizes(sizes, math.ceil(test_size * total)) if total else {}
 
-    return _take_per_class(df, F.col(label), key, seed, choose).withColumnRenamed("_taken", "in_test")
+    try:
+        split = _take_per_class(df, F.col(label), key, seed, choose)
+    except _ManyClasses:
+        return split_by_strata(df, label, test_size, key, seed, MAX_RANKED)
+    return split.withColumnRenamed("_taken", "in_test")

@@ -281,6 +281,28 @@ def stratified_split_rows(bench: Workbench) -> DataFrame:
     return split.select(*RECORD_KEY, "reordered", "in_test")
 
 
+@query(
+    f""", ranked AS (
+      SELECT user_id, order_number, product_id,
+        row_number() OVER (PARTITION BY product_id ORDER BY {_HASH}) AS rn FROM d_features
+    ), sized AS (
+      SELECT product_id, count(*) AS n, sum(count(*)) OVER () AS total,
+        CAST(ceil(0.2E0 * sum(count(*)) OVER ()) AS HUGEINT) AS wanted FROM d_features GROUP BY product_id
+    ), shared AS (
+      SELECT product_id, wanted * n // total AS base,
+        row_number() OVER (ORDER BY wanted * n % total DESC, product_id) AS place,
+        wanted - sum(wanted * n // total) OVER () AS missing FROM sized
+    )
+    SELECT user_id, order_number, r.product_id,
+      rn <= base + CASE WHEN place <= missing THEN 1 ELSE 0 END AS in_test
+    FROM ranked r JOIN shared s ON s.product_id = r.product_id"""
+)
+def stratified_split_many_labels(bench: Workbench) -> DataFrame:
+    """A split by product: thousands of labels, their shares and cuts as joined tables."""
+    split = stratified_split(bench.features, "product_id", 0.2, RECORD_KEY, seed=42)
+    return split.select(*RECORD_KEY, "in_test")
+
+
 @query(
     """SELECT user_id, max(order_number) AS order_number,
       arg_max(order_id, order_number) AS order_id FROM d_orders GROUP BY user_id"""

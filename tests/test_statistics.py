@@ -202,3 +202,34 @@ def test_area_does_not_depend_on_the_scale(spark, scale):
     want = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
     frame = spark.createDataFrame([*rows, (math.nan, 1), (None, 0)], "s double, y int")
     assert roc_auc(frame, "s", "y").first()[0] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("ranked", [1_000_000, 3])
+def test_many_classes_are_split_like_few(labelled, monkeypatch, ranked):
+    from rebasket.operators import sampling, strata
+
+    monkeypatch.setattr(strata, "BUCKET_DIGITS", 1)
+    monkeypatch.setattr(sampling, "MAX_RANKED", ranked)
+    key = ["user_id", "line"]
+    wide = labelled.withColumn("y", F.when(F.col("line") % 2 == 0, F.lit(0)).otherwise(F.col("line") % 40))
+    few = stratified_split(wide, "y", 0.33, key)
+    repeated = stratified_split(wide, "y", 0.33, ["user_id"])  # keys that repeat
+    monkeypatch.setattr(sampling, "MAX_CLASSES", 1)
+    many = stratified_split(wide.repartition(5), "y", 0.33, key)
+    assert many.columns == few.columns and many.exceptAll(few).count() == 0 and many.count() == few.count()
+    again = stratified_split(wide, "y", 0.33, ["user_id"])
+    assert again.exceptAll(repeated).count() == 0 and again.count() == 5_000
+    assert stratified_split(wide.limit(0), "y", 0.33, key).count() == 0
+    with pytest.raises(ValueError, match="have no y"):
+        stratified_split(wide.withColumn("y", F.when(F.col("line") > 5, F.col("y"))), "y", 0.33, key)
+
+
+def test_shares_of_very_many_rows(spark):
+    """Products beyond 64 bits, and many equal remainders: the smaller labels are first."""
+    from rebasket.operators.strata import apportion
+
+    sizes = {0: 3 * 10**15 + 1, 1: 10**15, 2: 7} | {k: 1 for k in range(10, 60)}
+    wanted = sum(sizes.values()) // 3
+    classes = spark.createDataFrame(list(sizes.items()), "label long, n long").repartition(4)
+    got = {r.label: r.wanted for r in apportion(classes, wanted).collect()}
+    assert got == stratum_sizes(sizes, wanted) and sum(got.values()) == wanted
