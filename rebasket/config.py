@@ -70,6 +70,7 @@ class TrainingConfig:
     ``max_rows=None`` trains on the whole table.  A number keeps that many rows,
     chosen by hash (see ``operators.sampling.cap_rows``).  ``row_key`` must
     identify a feature row: it feeds the hashes of the cap and of the split.
+    ``patience`` is how many runs in a row have to drift before a new training.
     """
 
     test_size: float = 0.2
@@ -79,6 +80,7 @@ class TrainingConfig:
     max_rows: int | None = None
     target_metric: str = DRIFT_METRIC
     min_metric: float = DRIFT_THRESHOLD
+    patience: int = 1
     row_key: tuple[str, ...] = ("user_id", "order_number", "product_id")
 
 

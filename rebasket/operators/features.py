@@ -55,6 +55,15 @@ def project_present(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select([c for c in wanted if c in df.columns])
 
 
+def assemble_features(
+    joined: DataFrame, users: DataFrame, products: DataFrame, hot: HotKeys, config: FeatureConfig = FeatureConfig()
+) -> DataFrame:
+    """The feature table out of the lines and the features of customers and products."""
+    wide = with_user_features(joined, users, hot)
+    wide = with_product_features(wide, products, hot)
+    return project_present(fill_numeric(wide), config.output_columns)
+
+
 def build_features(
     joined: DataFrame, config: FeatureConfig = FeatureConfig(), hot_rows: int | None = None
 ) -> DataFrame:
@@ -65,6 +74,4 @@ def build_features(
     both order sets: that is the definition, and it makes the rate optimistic.
     """
     hot = hot_behaviour_keys(joined, hot_rows)
-    wide = with_user_features(joined, user_features(joined), hot)
-    wide = with_product_features(wide, product_features(joined), hot)
-    return project_present(fill_numeric(wide), config.output_columns)
+    return assemble_features(joined, user_features(joined), product_features(joined), hot, config)

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from rebasket.config import DEFAULT_STAGES, STAGES, FeatureConfig, ModelConfig, TrainingConfig
-from rebasket.operators.drift import RETRAIN_STATUS, STABLE_STATUS, check_drift
+from rebasket.operators.drift import RETRAIN_STATUS, STABLE_STATUS, check_drift, check_history
 from rebasket.operators.features import build_features
 from rebasket.operators.joined import build_joined
 from rebasket.operators.model import (
@@ -23,9 +23,11 @@ from rebasket.operators.quality import split_scorable, split_valid
 from rebasket.session import spread_rows
 from rebasket.sources.records import read_records, write_json
 from rebasket.sources.runs import (
+    METRICS,
     load_model,
     log_metrics,
     log_run,
+    read_history,
     read_latest_metrics,
     save_model,
 )
@@ -106,8 +108,12 @@ def train_model(spark: SparkSession, job: Job) -> Trained:
 
 
 def needs_retraining(spark: SparkSession, job: Job) -> bool:
-    metrics = read_latest_metrics(spark, job.root)
-    return check_drift(metrics, job.training.target_metric, job.training.min_metric)
+    training, metrics = job.training, read_latest_metrics(spark, job.root)
+    drifted = check_drift(metrics, training.target_metric, training.min_metric)
+    if not drifted or training.patience <= 1:
+        return drifted
+    history = read_history(spark, f"{job.root}/metrics", METRICS)
+    return check_history(history, training.target_metric, training.min_metric, training.patience)
 
 
 def evaluate(spark: SparkSession, job: Job) -> str:

@@ -20,7 +20,7 @@ from rebasket.functions.rules import (
     score_with_rules,
 )
 from rebasket.functions.validation import within
-from rebasket.operators.drift import flag_drift
+from rebasket.operators.drift import drift_history, flag_drift
 from rebasket.operators.quality import split_valid, validate, violations
 from rebasket.operators.similarity import centroids, text_top_k, top_k_similar
 from rebasket.operators.statistics import accuracy, roc_auc
@@ -224,6 +224,25 @@ def drift_status(bench: Workbench) -> DataFrame:
     return flagged.select("run_id", "value", "drift", "status")
 
 
+@query(
+    """, runs AS (
+      SELECT order_number AS ts, avg(CASE WHEN prediction = reordered THEN 1.0E0 ELSE 0.0E0 END) AS value
+      FROM d_scored GROUP BY order_number
+    ), flagged AS (
+      SELECT *, value < 0.5E0 AS drift, value - lag(value) OVER (ORDER BY ts) AS change FROM runs
+    ), streaks AS (
+      SELECT *, count(*) FILTER (WHERE NOT drift) OVER (ORDER BY ts) AS sound FROM flagged
+    ), counted AS (
+      SELECT *, count(*) FILTER (WHERE drift) OVER (PARTITION BY sound ORDER BY ts) AS breaches FROM streaks
+    )
+    SELECT 'run-' || ts AS run_id, value, change, drift, breaches, breaches >= 2 AS retrain FROM counted"""
+)
+def drift_over_runs(bench: Workbench) -> DataFrame:
+    """One run per order number: breaches in a row, and whether two of them ask for a training."""
+    found = drift_history(_metrics_by(bench, "order_number"), "accuracy", 0.5, patience=2)
+    return found.drop("ts")
+
+
 @query(
     """, last AS (SELECT * FROM d_scored WHERE order_number = (SELECT max(order_number)
       FROM d_scored))

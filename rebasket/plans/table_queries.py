@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rebasket.config import FeatureConfig
 from rebasket.functions.rules import score_with_rules
+from rebasket.operators.behaviour import Behaviour
 from rebasket.operators.features import (
     build_features,
     fill_numeric,
@@ -353,3 +354,28 @@ def joined_table_salted(bench: Workbench) -> DataFrame:
 def feature_table_salted(bench: Workbench) -> DataFrame:
     """The feature table by the plan for hot keys."""
     return build_features(bench.joined, hot_rows=20)
+
+
+def _behaviour(bench: Workbench) -> Behaviour:
+    """The features of all lines, in two batches of whole orders; the first comes twice."""
+    kept = Behaviour(bench.scratch("behaviour"))
+    even = F.col("order_id") % 2 == 0
+    for batch in (bench.joined.filter(even), bench.joined.filter(even), bench.joined.filter(~even)):
+        kept.update(batch)
+    return kept
+
+
+@query("SELECT * FROM d_users")
+def incremental_user_features(bench: Workbench) -> DataFrame:
+    return _behaviour(bench).user_features(bench.spark)
+
+
+@query("SELECT * FROM d_items")
+def incremental_product_features(bench: Workbench) -> DataFrame:
+    return _behaviour(bench).product_features(bench.spark)
+
+
+@query("SELECT * FROM d_features")
+def incremental_feature_table(bench: Workbench) -> DataFrame:
+    """The feature table out of sums that were kept batch by batch."""
+    return _behaviour(bench).features(bench.joined)

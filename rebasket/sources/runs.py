@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rebasket.sources.files import create_new
 from rebasket.sources.tables import MissingTable, _unless_absent
 
 RUNS = "run_id string, experiment string, params map<string,string>, metrics map<string,double>, ts timestamp"
@@ -77,16 +78,27 @@ def latest_by_version(table: DataFrame, name: str, version: str, value: str) ->
     )
 
 
+def _claim(spark: SparkSession, root: str, name: str, version: int) -> int:
+    """The first version from this one on that no run has claimed; it is this run's from now on."""
+    while not create_new(spark, f"{root}/claims/{name}/version-{version}"):
+        version += 1
+    return version
+
+
 def save_model(spark: SparkSession, root: str, name: str, model: PipelineModel, run_id: str) -> str:
-    """Save the model as the next version and record where it is."""
+    """Save the model as the next version and record where it is.
+
+    Versions are claimed before the model is written, so runs at the same time get
+    different ones.
+    """
     known = read_history(spark, f"{root}/versions", VERSIONS)
     last = 0
     if known is not None:
         last = known.filter(F.col("model") == name).agg(F.max("version")).first()[0] or 0
-    version = last + 1
-    # The run is part of the path: a run at the same time cannot replace this model.
+    version = _claim(spark, root, name, last + 1)
     path = f"{root}/models/{name}/version={version}-{run_id}"
     model.save(path)
+    # The row publishes the version: a run that stops before leaves a claim only.
     _append(spark, f"{root}/versions", (name, version, path, run_id, _now()), VERSIONS)
     return path
 

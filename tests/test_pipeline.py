@@ -251,3 +251,52 @@ def test_command_line_makes_a_job():
     assert job_of(parse(["--raw", "a", "--root", "b"])).training.max_rows is None
     with pytest.raises(SystemExit):
         parse(["--raw", "a", "--root", "b", "--stages", "cleaning"])
+
+
+def test_runs_at_the_same_time_get_different_versions(spark, tmp_path, monkeypatch):
+    """A second run that looks before the first has published."""
+    from pyspark.ml import PipelineModel
+
+    from rebasket.sources import runs
+
+    root, model = str(tmp_path), PipelineModel([])
+    inner = []
+
+    class Slow:
+        def save(self, path):
+            if not inner:
+                inner.append(runs.save_model(spark, root, "m", model, "second"))
+            model.save(path)
+
+    first = runs.save_model(spark, root, "m", Slow(), "first")
+    assert "version=1-first" in first and "version=2-second" in inner[0]
+    assert latest_model_path(spark, root, "m") == inner[0]
+    versions = read_history(spark, f"{root}/versions", runs.VERSIONS)
+    assert sorted(r.version for r in versions.collect()) == [1, 2]
+    assert "version=3-" in runs.save_model(spark, root, "m", model, "third")
+    assert "version=1-" in runs.save_model(spark, root, "other", model, "x")
+
+
+def test_one_noisy_run_does_not_retrain(spark, job):
+    patient = replace(job, training=TrainingConfig(min_metric=0.75, patience=2), stages=("ingestion",))
+    for run_id, value in (("a", 0.9), ("b", 0.6)):
+        log_metrics(spark, job.root, run_id, {"accuracy": value})
+    assert retrain_if_drifted(spark, patient) is False
+    assert evaluate(spark, replace(patient, training=TrainingConfig(min_metric=0.75))) == "retraining recommended"
+    log_metrics(spark, job.root, "c", {"accuracy": 0.5})
+    assert retrain_if_drifted(spark, patient) is True
+
+
+def test_history_of_a_metric(spark):
+    from rebasket.operators.drift import check_history, drift_history
+
+    values = [0.9, 0.5, 0.4, 0.8, None, 0.1, 0.75]
+    rows = [(f"r{k}", "accuracy", v, k) for k, v in enumerate(values)] + [("r0", "roc_auc", 0.1, 0)]
+    history = spark.createDataFrame(rows, "run_id string, metric string, value double, ts int")
+    found = drift_history(history, patience=2).orderBy("ts").collect()
+    assert [r.breaches for r in found] == [0, 1, 2, 0, 1, 0]
+    assert [r.retrain for r in found] == [False, False, True, False, False, False]
+    assert found[0].change is None and found[1].change == pytest.approx(-0.4)
+    assert check_history(history.filter("ts <= 2"), patience=2) and not check_history(history)
+    with pytest.raises(ValueError):
+        check_history(history, "f1")

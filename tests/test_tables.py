@@ -160,3 +160,25 @@ def test_hot_rows_are_spread(spark, lopsided):
 
 def test_small_tables_have_no_hot_keys(lopsided):
     assert find_hot_keys(lopsided, ["k"]).of(["k"]) == {}
+
+
+def test_sums_kept_by_batch_give_the_features_of_all_lines(spark, edge_joined, tmp_path):
+    from rebasket.operators.behaviour import Behaviour
+    from rebasket.operators.features import build_features, product_features, user_features
+    from rebasket.sources.tables import MissingTable
+
+    def same(a, b):
+        assert sorted(map(repr, a.select(b.columns).collect())) == sorted(map(repr, b.collect()))
+
+    kept = Behaviour(str(tmp_path / "kept"))
+    with pytest.raises(MissingTable):
+        kept.user_features(spark)
+    first, second = edge_joined.filter("order_id < 2"), edge_joined.filter("order_id >= 2")
+    assert [kept.update(first), kept.update(first), kept.update(edge_joined.limit(0))] == [1, 2, 3]
+    same(kept.user_features(spark), user_features(first))
+    # An update that stops before its marker does not count and is written over.
+    second.select("order_id").write.parquet(str(tmp_path / "kept/orders/update-4"))
+    assert kept.update(second) == 4
+    same(kept.user_features(spark), user_features(edge_joined))
+    same(kept.product_features(spark), product_features(edge_joined))
+    same(kept.features(edge_joined), build_features(edge_joined))
