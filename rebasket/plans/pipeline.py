@@ -33,6 +33,7 @@ from rebasket.sources.runs import (
 )
 from rebasket.sources.tables import (
     MissingTable,
+    read_raw_checked,
     read_raw_tables,
     read_table,
     write_csv,
@@ -55,6 +56,7 @@ class Job:
     records_are_arrays: bool = False
     record_identity: Sequence[str] = ()
     infer_types: bool = False
+    set_aside: bool = False
     stages: Sequence[str] = DEFAULT_STAGES
     features: FeatureConfig = field(default_factory=FeatureConfig)
     model: ModelConfig = field(default_factory=ModelConfig)
@@ -69,7 +71,15 @@ class Job:
 
 
 def ingest(spark: SparkSession, job: Job) -> dict[str, str]:
-    """Raw CSV files to Parquet; returns the tables written."""
+    """Raw CSV files to Parquet; returns the tables written.
+
+    With ``set_aside``, damaged lines become the table ``rejected`` instead of
+    stopping the job.
+    """
+    if job.set_aside:
+        raw, rejected = read_raw_checked(spark, job.raw)
+        raw = raw | {"rejected": rejected}
+        return {name: write_table(frame, job.table(name)) for name, frame in raw.items()}
     raw = read_raw_tables(spark, job.raw, job.infer_types)
     return {name: write_table(frame, job.table(name)) for name, frame in raw.items()}
 

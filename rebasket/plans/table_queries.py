@@ -34,7 +34,7 @@ from rebasket.plans.catalog import RECORD_KEY, Workbench, query
 from rebasket.schemas import RECORD, TABLES
 from rebasket.sources.records import read_records, write_json
 from rebasket.sources.runs import latest_by_version
-from rebasket.sources.tables import read_csv, read_table, write_csv, write_table
+from rebasket.sources.tables import read_csv, read_csv_checked, read_table, write_csv, write_table
 
 _ORDER_COLUMNS = (
     "order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, "
@@ -56,6 +56,34 @@ def csv_scan_inferred(bench: Workbench) -> DataFrame:
     return found.select([F.col(c).cast(kinds[c]).alias(c) for c in found.columns])
 
 
+@query(
+    f"""SELECT CAST(order_id AS VARCHAR) AS order_id, order_number, order_id % 7 <> 0 AS good
+    FROM (SELECT {_ORDER_COLUMNS} FROM d_orders)"""
+)
+def csv_damaged_lines(bench: Workbench) -> DataFrame:
+    """Every seventh line is damaged, by a word as a number or by a field too many."""
+    number = F.when(F.col("order_id") % 14 == 0, "one").otherwise(F.col("order_number").cast("string"))
+    more = F.when(F.col("order_id") % 14 == 7, ",more").otherwise("")
+    names = TABLES["orders"].fieldNames()
+    written = bench.orders.withColumn("order_number", number)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    line = F.concat(F.concat_ws(",", *fields), more)
+    path = bench.scratch("damaged-csv")
+    header = bench.spark.createDataFrame([(",".join(names),)], "value string")
+    # Every file needs a header of its own: sorted, it is the first row of each.
+    tasks = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("task")
+    task = F.pmod(F.xxhash64("order_id"), F.lit(4)).cast("int").alias("task")
+    lines = written.select(task, F.lit(1).alias("place"), line.alias("value"))
+    heads = header.select(tasks, F.lit(0).alias("place"), "value")
+    dealt = heads.unionByName(lines).repartition(4, "task").sortWithinPartitions("task", "place")
+    dealt.select("value", "task").write.partitionBy("task").text(path)
+    good, damaged = read_csv_checked(bench.spark, f"{path}/task=*", TABLES["orders"])
+    numbers = bench.orders.select(F.col("order_id").cast("string").alias("order_id"), "order_number")
+    lost = damaged.select(F.substring_index("line", ",", 1).alias("order_id"), F.lit(False).alias("good"))
+    kept = good.select(F.col("order_id").cast("string").alias("order_id"), F.lit(True).alias("good"))
+    return kept.unionByName(lost).join(numbers, "order_id").select("order_id", "order_number", "good")
+
+
 @query(
     """SELECT CAST(order_number AS BIGINT) AS order_number, CAST(order_dow AS BIGINT) AS order_dow,
       CAST(order_hour_of_day AS BIGINT) AS order_hour_of_day, days_since_prior_order,

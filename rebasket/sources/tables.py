@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,46 @@ def read_csv(
     )
 
 
+_DAMAGED = "_damaged_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame] | None:
+    """The good rows of a CSV file with a header row, and its damaged lines as (file, line).
+
+    A line is damaged if it has more or fewer fields than the header, or a value
+    that does not fit its column.  ``line`` is its text.  Every line but the header
+    and empty ones is in exactly one of both.  ``None`` if there is no such file.
+    """
+    header = _unless_absent(lambda: spark.read.option("header", True).csv(path))
+    if header is None:
+        return None
+    lines = spark.read.text(path)
+    first = lines.first()
+    kinds = {field.name: field.dataType.simpleString() for field in schema}
+    columns = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in [*header.columns, _DAMAGED])
+    # Lines are parsed whole, whichever columns are read later: damage in any of them counts.
+    row = F.from_csv("value", columns, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _DAMAGED})
+    parsed = lines.filter(F.col("value") != (first["value"] if first else "")).filter("trim(value) <> ''")
+    parsed = parsed.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), row.alias("row"))
+    damaged = F.col(f"row.{_DAMAGED}").isNotNull()
+    return parsed.filter(~damaged).select("row.*").drop(_DAMAGED), parsed.filter(damaged).select("file", "line")
+
+
+def read_raw_checked(spark: SparkSession, raw: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The good rows of the raw tables that are present, and the damaged lines of all as (table, file, line)."""
+    found, damaged = {}, []
+    for file_name, table in RAW_FILES.items():
+        for root in search_roots(raw):
+            both = read_csv_checked(spark, f"{root}/{file_name}", TABLES[table])
+            if both is not None:
+                found[table] = both[0]
+                damaged.append(both[1].select(F.lit(table).alias("table"), "file", "line"))
+                break
+    if not found:
+        raise MissingTable(f"no raw CSV file in any of {search_roots(raw)}")
+    return found, reduce(DataFrame.unionByName, damaged)
+
+
 def search_roots(raw: str) -> tuple[str, ...]:
     """The folders a raw file may lie in, in order of preference."""
     base = raw.rstrip("/")

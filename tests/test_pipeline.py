@@ -300,3 +300,57 @@ def test_history_of_a_metric(spark):
     assert check_history(history.filter("ts <= 2"), patience=2) and not check_history(history)
     with pytest.raises(ValueError):
         check_history(history, "f1")
+
+
+def test_damaged_lines_are_set_aside(spark, job, tmp_path):
+    from rebasket.plans.pipeline import ingest
+
+    path = tmp_path / "raw" / "products.csv"
+    lines = path.read_text().splitlines()
+    bad = ["x1,p,1,1", "7,p,1,1,more", "8,p", "9,p,1.5,1"]
+    path.write_text("\n".join([*lines[:2], *bad, *lines[2:], "10,,,"]) + "\n")
+    written = ingest(spark, replace(job, set_aside=True))
+    rejected = read_table(spark, written["rejected"])
+    assert sorted((r.table, r.line) for r in rejected.collect()) == sorted(("products", b) for b in bad)
+    assert rejected.first().file.endswith("products.csv")
+    products = read_table(spark, written["products"])
+    assert products.schema == TABLES["products"] and products.count() == len(EDGE["products"]) + 1
+    assert products.filter("product_id = 10 AND product_name IS NULL AND aisle_id IS NULL").count() == 1
+    with pytest.raises(Exception):
+        ingest(spark, replace(job, root=str(tmp_path / "other")))
+
+
+def test_routed_stream_reads_once_and_repeats_nothing(spark, tmp_path):
+    from rebasket.streaming.scoring import read_routed, route_stream, routed_records, write_batch
+
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    rows = [GOOD, (*GOOD[:1], 9, *GOOD[2:]), (*GOOD[:4], 9, *GOOD[5:])]
+
+    def drain(place):
+        stream = read_stream(spark, source, RECORD_TEXT, "json", files_per_trigger=1)
+        query = route_stream(stream, sink, place)
+        query.awaitTermination()
+        return query
+
+    def counts():
+        return tuple(frame.count() for frame in read_routed(spark, sink))
+
+    spark.createDataFrame(rows, RECORD).coalesce(1).write.mode("append").json(source)
+    first = drain(checkpoint)
+    assert counts() == (2, 1)
+    drain(str(tmp_path / "lost"))  # the checkpoint was lost: batch 0 comes again
+    assert counts() == (2, 1)
+    (tmp_path / "in" / "part-odd.json").write_text(json.dumps({"order_number": "three", "aisle_id": "NaN"}) + "\n")
+    assert drain(checkpoint).id == first.id  # one query
+    assert counts() == (2, 2)
+    scores, aside = read_routed(spark, sink)
+    columns = ["prediction", "label", "confidence_hint", "reason"]
+    batch = score_with_rules(spark.createDataFrame([rows[0], rows[2]], RECORD)).select(columns)
+    assert sorted(map(repr, scores.select(columns).collect())) == sorted(map(repr, batch.collect()))
+    odd = {json.loads(r.record).get("order_number"): {e.field for e in r.errors} for r in aside.collect()}
+    assert "order_number" in odd["three"] and odd["3"] == {"order_dow"}
+    # A batch that stopped half-way is written over.
+    (tmp_path / "out" / "batch=7" / "accepted=true").mkdir(parents=True)
+    frame = routed_records(spark.createDataFrame(rows, RECORD))
+    assert write_batch(frame, sink, 7) is True and write_batch(frame, sink, 7) is False
+    assert counts() == (4, 3)
