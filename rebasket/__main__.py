@@ -25,6 +25,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--stages", nargs="+", choices=STAGES, default=list(DEFAULT_STAGES))
     parser.add_argument("--demo", action="store_true", help="settings for a small sample")
     parser.add_argument("--max-rows", type=int, help="train on so many rows only")
+    parser.add_argument("--resume", action="store_true", help="skip stages that are finished")
     parser.add_argument(
         "--check-drift", action="store_true", help="run only if the last metrics have drifted"
     )
@@ -50,8 +51,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
         ran = retrain_if_drifted(spark, job_of(options))
         print("pipeline has run" if ran else "model stable, nothing to do")
         return
-    for stage, result in run(spark, job_of(options)).items():
-        print(f"{stage}: {getattr(result, 'metrics', result)}")
+    for stage, result in run(spark, job_of(options), resume=options.resume, clean=True).items():
+        print(f"{stage}: {'skipped' if result is None else getattr(result, 'metrics', result)}")
 
 
 if __name__ == "__main__":

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rebasket.config import DEFAULT_STAGES, STAGES, FeatureConfig, ModelConfig, TrainingConfig
 from rebasket.operators.drift import RETRAIN_STATUS, STABLE_STATUS, check_drift, check_history
@@ -20,7 +23,8 @@ from rebasket.operators.model import (
     validation_rows,
 )
 from rebasket.operators.quality import split_scorable, split_valid
-from rebasket.session import spread_rows
+from rebasket.session import scratch_removed, spread_rows
+from rebasket.sources.files import fingerprint
 from rebasket.sources.records import read_records, write_json
 from rebasket.sources.runs import (
     METRICS,
@@ -157,17 +161,64 @@ def deploy(spark: SparkSession, job: Job) -> str:
     return write_json(score_batch(spark, job), f"{job.predictions}/latest")
 
 
+TABLE_STAGES = STAGES[:3]
+
 STAGE_JOBS: dict[str, Callable[[SparkSession, Job], object]] = dict(
     zip(STAGES, (ingest, process, engineer, train_model, evaluate, deploy), strict=True)
 )
 
 
-def run(spark: SparkSession, job: Job) -> dict[str, object]:
-    """Run the stages in order; a misspelt stage is reported before any runs."""
+MANIFEST = "stage string, key string, output string"
+
+
+def _settings(job: Job, stage: str) -> str:
+    """What a stage depends on besides its input tables."""
+    ingestion = (job.raw, job.infer_types, job.set_aside)
+    training = (job.model, job.training, job.features)
+    own = {"ingestion": ingestion, "feature_engineering": (job.features,), "training": training}
+    return repr(own.get(stage, ()))
+
+
+def _key(spark: SparkSession, job: Job, stage: str, before: str) -> str:
+    """A hash of the raw files and of the settings of this stage and all before it."""
+    read = fingerprint(spark, job.raw) if stage == "ingestion" else ()
+    return hashlib.sha256(repr((stage, _settings(job, stage), before, read)).encode()).hexdigest()
+
+
+def _finished(spark: SparkSession, job: Job, stage: str, key: str) -> dict | None:
+    """The manifest of the stage, if it was finished with the same inputs and settings."""
+    stored = read_history(spark, f"{job.root}/manifests/{stage}", MANIFEST)
+    found = stored.filter(F.col("key") == key).take(1) if stored is not None else []
+    return found[0].asDict() if found else None
+
+
+def run(spark: SparkSession, job: Job, resume: bool = False, clean: bool = False) -> dict[str, object]:
+    """Run the stages in order; a misspelt stage is reported before any runs.
+
+    Tables that a stage has finished are described by a manifest.  With ``resume``,
+    stages that write tables are skipped as long as raw files, settings and all
+    stages before are those of their manifest; their result is None.  Training,
+    evaluation and deployment always run.  ``clean`` deletes what the stages handed
+    over in the shared folder; then a training's ``validation`` cannot be read any
+    more, but its export can.
+    """
     unknown = [stage for stage in job.stages if stage not in STAGE_JOBS]
     if unknown:
         raise ValueError(f"unknown stages: {', '.join(unknown)}")
-    return {stage: STAGE_JOBS[stage](spark, job) for stage in job.stages}
+    results: dict[str, object] = {}
+    with scratch_removed(spark) if clean else nullcontext():
+        key = ""
+        for stage in job.stages:
+            key = _key(spark, job, stage, key)
+            if stage not in TABLE_STAGES:
+                results[stage] = STAGE_JOBS[stage](spark, job)
+            elif resume and _finished(spark, job, stage, key):
+                results[stage] = None
+            else:
+                results[stage] = STAGE_JOBS[stage](spark, job)
+                row = spark.createDataFrame([(stage, key, str(results[stage]))], MANIFEST).coalesce(1)
+                row.write.mode("overwrite").parquet(f"{job.root}/manifests/{stage}")
+    return results
 
 
 def retrain_if_drifted(spark: SparkSession, job: Job) -> bool:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebasket.config import FeatureConfig
+from rebasket.config import STAGES, FeatureConfig, TrainingConfig
 from rebasket.functions.rules import score_with_rules
 from rebasket.operators.behaviour import Behaviour
 from rebasket.operators.features import (
@@ -31,10 +34,19 @@ from rebasket.operators.quality import as_declared
 from rebasket.operators.sampling import cap_rows, stratified_split
 from rebasket.operators.statistics import class_count, medians, modes
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
+from rebasket.plans.pipeline import Job, evaluate, run
 from rebasket.schemas import RECORD, TABLES
 from rebasket.sources.records import read_records, write_json
-from rebasket.sources.runs import latest_by_version
-from rebasket.sources.tables import read_csv, read_csv_checked, read_table, write_csv, write_table
+from rebasket.sources.runs import RUNS, latest_by_version, log_metrics, log_run, read_history
+from rebasket.sources.tables import (
+    RAW_FILES,
+    read_csv,
+    read_csv_checked,
+    read_raw_tables,
+    read_table,
+    write_csv,
+    write_table,
+)
 
 _ORDER_COLUMNS = (
     "order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, "
@@ -407,3 +419,65 @@ def incremental_product_features(bench: Workbench) -> DataFrame:
 def incremental_feature_table(bench: Workbench) -> DataFrame:
     """The feature table out of sums that were kept batch by batch."""
     return _behaviour(bench).features(bench.joined)
+
+
+def _raw_folder(bench: Workbench, **places: str) -> str:
+    """The star's tables as raw CSV files, each below the given subfolder."""
+    raw = bench.scratch("raw")
+    names = {table: file for file, table in RAW_FILES.items()}
+    frames = {
+        "orders": bench.orders,
+        "order_products_prior": bench.prior,
+        "order_products_train": bench.train,
+        "products": bench.products,
+    }
+    for table, place in places.items():
+        write_csv(frames[table], f"{raw}/{place}{names[table]}")
+    return raw
+
+
+@query(
+    """SELECT 'orders' AS name, count(*) AS n FROM d_orders UNION ALL SELECT 'products', count(*) FROM d_products
+    UNION ALL SELECT 'order_products_prior', count(*) FROM d_lines WHERE eval_set = 'prior'"""
+)
+def raw_tables_found(bench: Workbench) -> DataFrame:
+    """Raw files in the folder and in its archive; those that are nowhere are left out."""
+    raw = _raw_folder(bench, orders="archive/", products="", order_products_prior="archive/")
+    found = read_raw_tables(bench.spark, raw)
+    counts = [frame.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, frame in found.items()]
+    return reduce(DataFrame.unionAll, counts)
+
+
+@query("SELECT * FROM d_features")
+def pipeline_feature_table(bench: Workbench) -> DataFrame:
+    """The stages from raw CSV files to the feature table, broken off after the second and resumed."""
+    raw = _raw_folder(bench, orders="", products="archive/", order_products_prior="", order_products_train="")
+    job = Job(raw=raw, root=bench.scratch("pipeline"), stages=STAGES[:2])
+    run(bench.spark, job)
+    results = run(bench.spark, replace(job, stages=STAGES[:3]), resume=True)
+    if [stage for stage, result in results.items() if result is None] != list(STAGES[:2]):
+        raise RuntimeError("a finished stage has run again")
+    return read_table(bench.spark, job.table("features"))
+
+
+@query(
+    """SELECT 'run-' || order_dow AS run_id, 'order_dow' AS column_name, value AS accuracy,
+      CASE WHEN value < 0.5E0 THEN 'retraining recommended' ELSE 'model stable' END AS status
+    FROM (SELECT order_dow, avg(CASE WHEN prediction = reordered THEN 1.0E0 ELSE 0.0E0 END)
+      AS value FROM d_scored GROUP BY order_dow)"""
+)
+def logged_runs(bench: Workbench) -> DataFrame:
+    """One run per weekday, logged with parameters and metrics; the status of each as the last run."""
+    hit = (F.col("prediction") == F.col("reordered")).cast("double")
+    runs = score_with_rules(bench.features).groupBy("order_dow").agg(F.avg(hit).alias("accuracy")).collect()
+    job = Job(raw="", root=bench.scratch("runs"), training=TrainingConfig(min_metric=0.5))
+    status = []
+    for row in sorted(runs):  # seven rows
+        run_id = f"run-{row['order_dow']}"
+        log_run(bench.spark, job.root, run_id, "weekdays", {"by": "order_dow"}, {"accuracy": row["accuracy"]})
+        log_metrics(bench.spark, job.root, run_id, {"accuracy": row["accuracy"]})
+        status.append((run_id, evaluate(bench.spark, job)))
+    logged = read_history(bench.spark, f"{job.root}/runs", RUNS).select(
+        "run_id", F.col("params")["by"].alias("column_name"), F.col("metrics")["accuracy"].alias("accuracy")
+    )
+    return logged.join(bench.spark.createDataFrame(status, "run_id string, status string"), "run_id")

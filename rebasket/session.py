@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from rebasket.sources.files import remove
+
 # Joins here follow business keys (customer, product, order).  One key may own a
 # large share of the rows, so skewed join partitions are always split, also
 # where that costs one more exchange further up.
@@ -57,10 +62,33 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     run = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/{run}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/{run}/{name}-{uuid.uuid4().hex[:12]}"
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables handed over inside the block when it ends, also after an error.
+
+    What the block returns must not read them any more.
+    """
+    token = _scratch.set([])
+    try:
+        yield
+    finally:
+        made = _scratch.get() or []
+        _scratch.reset(token)
+        for path in made:
+            remove(spark, path)
 
 
 def spread_rows(df: DataFrame) -> DataFrame:

@@ -31,6 +31,18 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
 
 
+def fingerprint(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """Path, size and time of change of every file below a folder; empty without one."""
+    system, place = _at(spark, folder)
+    found = []
+    if system.exists(place):
+        files = system.listFiles(place, True)
+        while files.hasNext():
+            status = files.next()
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a file or folder that this application made."""
     system, place = _at(spark, path)

@@ -354,3 +354,46 @@ def test_routed_stream_reads_once_and_repeats_nothing(spark, tmp_path):
     frame = routed_records(spark.createDataFrame(rows, RECORD))
     assert write_batch(frame, sink, 7) is True and write_batch(frame, sink, 7) is False
     assert counts() == (4, 3)
+
+
+def test_a_broken_run_goes_on_where_it_stopped(spark, job, monkeypatch):
+    from rebasket.plans import pipeline
+
+    calls = []
+    for stage in STAGES[:3]:
+        work = STAGE_JOBS[stage]
+
+        def counted(spark, job, stage=stage, work=work):
+            calls.append(stage)
+            if len(calls) == 3:
+                raise RuntimeError("lost")
+            return work(spark, job)
+
+        monkeypatch.setitem(pipeline.STAGE_JOBS, stage, counted)
+    three = replace(job, stages=STAGES[:3])
+    with pytest.raises(RuntimeError):
+        run(spark, three)
+    assert list(run(spark, three, resume=True).values())[:2] == [None, None]
+    assert calls == [*STAGES[:3], STAGES[2]]
+    del calls[:]
+    calls.append("x")
+    assert set(run(spark, three, resume=True).values()) == {None} and calls == ["x"]
+    # Another raw file or setting: everything after it runs again.
+    fewer = replace(three, features=replace(job.features, numeric=("order_number",)))
+    assert [s for s, r in run(spark, fewer, resume=True).items() if r is not None] == [STAGES[2]]
+    calls.extend(["x"] * 5)
+    with open(f"{job.raw}/products.csv", "a") as file:
+        file.write("900,p900,1,1\n")
+    assert None not in run(spark, fewer, resume=True).values()
+
+
+def test_scratch_is_empty_after_a_clean_run(spark, job):
+    from rebasket.sources.files import names_in
+
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    before = names_in(spark, folder)
+    run(spark, replace(job, stages=DEFAULT_STAGES), clean=True)
+    assert names_in(spark, folder) == before
+    assert read_csv(spark, f"{job.predictions}/validation").count() == 28
+    with pytest.raises(MissingTable):
+        run(spark, replace(job, root=job.root + "-none", stages=("processing",)), clean=True)
