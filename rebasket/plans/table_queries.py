@@ -44,6 +44,7 @@ from rebasket.sources.tables import (
     read_csv_checked,
     read_raw_tables,
     read_table,
+    write_bucketed,
     write_csv,
     write_table,
 )
@@ -208,10 +209,11 @@ def product_features_table(bench: Workbench) -> DataFrame:
     return product_features(bench.joined)
 
 
-@query(
-    """SELECT j.*, user_order_count, user_avg_days_between_orders
+_WITH_USERS = """SELECT j.*, user_order_count, user_avg_days_between_orders
     FROM d_joined j LEFT JOIN d_users u ON u.user_id = j.user_id"""
-)
+
+
+@query(_WITH_USERS)
 def join_back_user_features(bench: Workbench) -> DataFrame:
     hot = hot_behaviour_keys(bench.joined)
     return with_user_features(bench.joined, user_features(bench.joined), hot)
@@ -481,3 +483,12 @@ def logged_runs(bench: Workbench) -> DataFrame:
         "run_id", F.col("params")["by"].alias("column_name"), F.col("metrics")["accuracy"].alias("accuracy")
     )
     return logged.join(bench.spark.createDataFrame(status, "run_id string, status string"), "run_id")
+
+
+@query(_WITH_USERS)
+def join_back_user_features_bucketed(bench: Workbench) -> DataFrame:
+    """Lines stored by customer: their features and the join back shuffle nothing."""
+    path = bench.scratch("joined_by_user")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    stored = write_bucketed(bench.joined, name, path, "user_id", buckets=8)
+    return stored.join(user_features(stored), "user_id", "left")

@@ -75,6 +75,12 @@ def test_hot_orders_reduce_copies_before_the_shuffle(spark, no_broadcast, monkey
     assert hot.count() == plain.count() and hot.exceptAll(plain).count() == 0
 
 
+def test_lines_stored_by_customer_are_not_shuffled(spark, no_broadcast):
+    text = plan(contract.queries()["join_back_user_features_bucketed"](spark, FOLDER))
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert "Exchange hashpartitioning(user_id" in plan(contract.queries()["join_back_user_features"](spark, FOLDER))
+
+
 def test_split_does_not_shuffle_the_table(spark):
     assert "Exchange" not in plan(contract.queries()["stratified_split_rows"](spark, FOLDER))
 
