@@ -64,8 +64,10 @@ class _Best:
         self.found: list[list[tuple]] = [[] for _ in query_ids]
 
     def add(self, ids: pa.Array, docs: np.ndarray) -> None:
+        if not self.query_ids:
+            return
         # Bounded blocks of rows: the distances of one block are all that is held.
-        step = max(1, MAX_BLOCK_VALUES // max(len(self.query_ids), 1))
+        step = max(1, MAX_BLOCK_VALUES // len(self.query_ids))
         for start in range(0, len(docs), step):
             self._add(ids.slice(start, step), docs[start : start + step])
 
