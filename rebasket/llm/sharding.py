@@ -165,9 +165,13 @@ class Tree:
         return placed.join(F.broadcast(numbers), placed["node"] == numbers["_leaf"]).drop("_leaf", "node")
 
 
-def build_tree(rows: DataFrame, target_bytes: float, dimensions: Sequence[str], tie: str, key: str) -> Tree:
+def build_tree(
+    rows: DataFrame, target_bytes: float, dimensions: Sequence[str], tie: str, key: str, most_leaves: int
+) -> Tree:
     """Splits nodes of more than 1.5 times the target at weighted medians, all of a level together.
 
+    There are never more than ``most_leaves`` leaves; the heaviest nodes are split first.
+
     A node is cut along its widest dimension, relative to that dimension's range
     in the whole table.  Rows alike in the dimension are ordered by ``tie`` and
     ``key``, so a heavy value is cut too; a cut that may fall at the edge of a
@@ -188,6 +192,9 @@ def build_tree(rows: DataFrame, target_bytes: float, dimensions: Sequence[str],
             if r["total"] > 1.5 * target_bytes and not one:
                 k = max(width, key=lambda k: (width[k] / ranges[k], -k))
                 searches.append(Search(r["node"], k, r["total"], r[f"lo_{k}"], r[f"hi_{k}"]))
+        # Every split makes one leaf more.
+        searches.sort(key=lambda s: (-s.total, s.node))
+        searches = sorted(searches[: max(most_leaves - len(nodes), 0)], key=lambda s: s.node)
         if not searches:
             order = sorted(r["node"] for r in nodes)
             return Tree(levels, {n: k for k, n in enumerate(order)}, dimensions, tie, key)
@@ -224,7 +231,7 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     """
     rows = hand_over(measured(docs).select("doc_id", "size", "text_crc32", "_id"), "metadata").read(docs.sparkSession)
     total = rows.agg(F.sum("size")).first()[0] or 0
-    tree = build_tree(rows, total / shards, DIMENSIONS, "text_crc32", "_id")
+    tree = build_tree(rows, total / shards, DIMENSIONS, "text_crc32", "_id", shards)
     placed = tree.place(rows)
     return with_offset(placed, "shard", F.lit(1), ["_id", "text_crc32", "size"], "slot").drop("_id")
 
@@ -238,7 +245,7 @@ def sharded_rows(docs: DataFrame, shards: int) -> DataFrame:
     packed = measured(docs.select(F.struct(*names).alias("row"), "doc_id", "text"))
     rows = hand_over(packed.select("size", "text_crc32", "_id"), "metadata").read(docs.sparkSession)
     total = rows.agg(F.sum("size")).first()[0] or 0
-    placed = build_tree(rows, total / shards, DIMENSIONS, "text_crc32", "_id").place(packed)
+    placed = build_tree(rows, total / shards, DIMENSIONS, "text_crc32", "_id", shards).place(packed)
     numbered = with_offset(placed, "shard", F.lit(1), ["_id", "text_crc32", "size"], "slot")
     columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("shard", "slot")]
     return numbered.select(*columns, "shard", "slot")

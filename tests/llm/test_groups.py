@@ -332,6 +332,18 @@ def test_shards_of_odd_tables(spark):
     assert shard_documents(no_documents(spark), 16).count() == 0
 
 
+@pytest.mark.parametrize("rows, shards", [(20, 16), (33, 16), (7, 3), (5, 16)])
+def test_there_are_never_more_shards_than_asked_for(spark, rows, shards):
+    """Equal documents, which have to be cut one by one."""
+    docs = spark.createDataFrame([(k, "the same text") for k in range(rows)], "doc_id long, text string")
+    placed = shard_documents(docs, shards).collect()
+    sizes = Counter(r.shard for r in placed)
+    assert len(placed) == rows and set(sizes) <= set(range(shards))
+    assert max(sizes.values()) <= max(2, 2 * -(-rows // shards))
+    for shard, n in sizes.items():
+        assert sorted(r.slot for r in placed if r.shard == shard) == list(range(n))
+
+
 def test_shards_are_of_equal_bytes_although_a_text_is_hot(spark):
     docs = spark.range(6000).select(
         F.col("id").alias("doc_id"),
