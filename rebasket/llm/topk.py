@@ -23,26 +23,38 @@ SEED_ROWS = 512
 def whole_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id and ``v``: floor(256 * x) of every component, of rows that can take part.
 
-    Rows without id or vector, without components, or with a null, non-finite or
-    too large component (a score must fit a long) do not.
+    Rows without id or vector, without components, or with a null or non-finite
+    component do not.
     """
-    scaled = vectors.select(
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * 256
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    def finite(x: Column) -> Column:
+        return x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
+
+    made = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("d"),
-        F.forall(
-            "embedding",
-            lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) <= 1e6),
-        ).alias("fine"),
+        F.transform("embedding", whole).alias("v"),
+        F.forall("embedding", finite).alias("fine"),
     )
-    usable = F.col("fine") & (F.size("d") > 0) & F.col("vec_id").isNotNull()
-    return scaled.filter(usable).select("vec_id", F.transform("d", lambda x: x.cast("long")).alias("v"))
+    usable = F.col("fine") & (F.size("v") > 0) & F.col("vec_id").isNotNull()
+    return made.filter(usable).select("vec_id", "v")
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole-number rows as longs, exact."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**53:
+    """Inner products of whole-number rows as longs, exact; an error if one does not fit a long."""
+    most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] if a.size and b.size else 0.0
+    if most < 2**53:
         return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    if most < 2**62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    large = [[int(x) for x in row] for row in a.tolist()], [[int(x) for x in row] for row in b.tolist()]
+    exact = np.array(large[0], object) @ np.array(large[1], object).T
+    if exact.max() > -NONE - 1 or exact.min() <= NONE:
+        raise OverflowError("an inner product does not fit a long")
+    return exact.astype(np.int64)
 
 
 class BallTree:
@@ -57,6 +69,7 @@ class BallTree:
         self.centres = np.array([self.rows[b:e].mean(axis=0) for b, e, _, _ in self.nodes])
         spread = [np.sqrt(((self.rows[b:e] - c) ** 2).sum(axis=1).max()) for (b, e, _, _), c in zip(self.nodes, self.centres)]
         self.radii = np.array(spread)
+        self.reach = np.sqrt((self.centres**2).sum(axis=1)) + self.radii
 
     def _split(self, rows: np.ndarray, order: np.ndarray, begin: int, end: int) -> int:
         number = len(self.nodes)
@@ -77,7 +90,8 @@ class BallTree:
         """The best k rows of each query, given the scores it already has."""
         best = Best(len(queries.ids), k, queries.floor)
         bounds = queries.rows @ self.centres.T + np.outer(queries.norms, self.radii)
-        bounds += 1e-6 * (1 + np.abs(bounds))  # rounding never hides a row
+        # Rounding never hides a row, also where large terms cancel out.
+        bounds += 1e-6 * (1 + np.abs(bounds)) + 1e-11 * np.outer(queries.norms, self.reach)
         self._visit(0, np.arange(len(queries.ids)), queries, bounds, best)
         return best
 
@@ -147,7 +161,8 @@ def top_k(vectors: DataFrame, asks: Column, k: int) -> DataFrame:
 
     Repeated rows are rows of their own; a repeated query answers once.  Vectors
     are compared with those of the same length only.  Rows that
-    ``whole_vectors`` leaves out take no part; an empty table has no result.
+    ``whole_vectors`` leaves out take no part; an empty table has no result.  A
+    score beyond the range of a long is an error, never a wrong number.
     """
     spark = vectors.sparkSession
     stored = hand_over(whole_vectors(vectors), "vectors").read(spark)

@@ -386,6 +386,22 @@ def test_top_k_of_odd_vectors(spark):
             (e for e in expected if e[0] not in twice), key=repr
         )
     topk.SHARD_ROWS = 8192
+    large = [(100, [3e15, -1.0]), (150, [-2e6, 0.25]), (200, [2e6, 1.0]), (1, [5.5, 1e-3]), (2, [2e6, 7.0])]
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in large]
+    with pytest.raises(Exception, match="does not fit"):
+        frame_of_all = spark.createDataFrame(large, "vec_id long, embedding array<double>")
+        topk.top_k(frame_of_all, F.col("vec_id") > 140, 9).collect()
+    fine = topk.top_k(
+        spark.createDataFrame([r for r in large if r[0] != 100], "vec_id long, embedding array<double>"),
+        F.col("vec_id") > 140,
+        9,
+    )
+    expected = [(q, k + 1, i, s) for q, v in whole[1:3] for k, (i, s) in enumerate(sorted(
+        ((i, sum(a * b for a, b in zip(v, w))) for i, w in whole if i not in (q, 100)), key=lambda x: (-x[1], x[0])
+    ))]
+    assert rows_of(fine, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
+    assert topk.products(np.array([[2.0**40, 1.0]]), np.array([[2.0**21, 3.0]])).tolist() == [[2**61 + 3]]
+    assert topk.products(np.array([[2.0**31, 1.0]]), np.array([[2.0**31, 3.0]])).tolist() == [[2**62 + 3]]
     assert topk.top_k(frame.limit(0), F.lit(True), 5).count() == 0
 
 
