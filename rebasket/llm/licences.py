@@ -180,13 +180,15 @@ def _scan(text: bytes | None, marks: Mapping[bytes, str], search: NoticeSearch)
     places = phrase_places(joined, list(marks))
     starts = [s for found in places.values() for s in found]
     base = {marks[p] for p in places}
-    letters = joined.decode("latin-1")
+    letters = joined.decode("utf-8", "surrogateescape")  # an edit is a character, not a byte
     matches = search.matches(letters)
-    spans = []
+    spans, passed, before = [], 0, 0
     for m in sorted(matches, key=lambda m: (m.begin, m.end, m.label)):
-        begin = letters.count(" ", 0, m.begin + 1) - (m.begin < len(letters) and letters[m.begin] == " ")
-        inside = len(letters[m.begin : m.end].split())
-        spans.append({"label": m.label, "first_word": begin, "n_words": inside, "edits": m.edits})
+        passed += letters.count(" ", before, m.begin + 1)
+        before = m.begin + 1
+        first_word = passed - (m.begin < len(letters) and letters[m.begin] == " ")
+        inside = len(letters[m.begin : m.end].strip(" ").split(" "))
+        spans.append({"label": m.label, "first_word": first_word, "n_words": inside, "edits": m.edits})
     score = max([1.0 - m.edits / m.length for m in matches] + [1.0] * bool(base), default=0.0)
     return (
         len(words),
