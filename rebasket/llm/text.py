@@ -7,6 +7,7 @@ contracts to the letter without any regular expression.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -20,6 +21,8 @@ from rebasket.session import spread_rows
 
 BATCH_BYTES = 4 << 20
 """Text that one Python step holds as words; a longer document stands alone."""
+ARROW_BYTES = 8 << 20
+"""Text that travels between the JVM and Python at a time; both sides hold a few such batches."""
 
 _SEPARATORS = bytes(
     b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)
@@ -52,11 +55,24 @@ def with_bytes(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
 
 def _bound_batches(docs: DataFrame) -> None:
     """Arrow batches of bounded bytes: ten thousand rows may be ten thousand books."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+def give_back() -> None:
+    """Returns the memory this process has freed to the system.
+
+    Python workers outlive their tasks; what one task freed and the next one
+    does not need would otherwise add up over the workers of an executor.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def slices(batches: Iterable[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of about ``limit`` bytes of text, rows whole."""
+    batch = sizes = ends = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -68,6 +84,8 @@ def slices(batches: Iterable[pa.RecordBatch], limit: int = BATCH_BYTES) -> Itera
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    del batch, sizes, ends
+    give_back()
 
 
 def per_text(

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rebasket.llm.text import mixed, numbered, per_text, plain_words, slices, word_hashes
+from rebasket.llm.text import give_back, mixed, numbered, per_text, plain_words, slices, word_hashes
+from rebasket.session import hand_over
 
 HASH_BITS = 20
 SAMPLE_ROWS = 30_000
@@ -81,12 +82,16 @@ def fit(
 
     ``usable`` tells the rows of ``labels`` (doc_id, toxic) to learn from.  The
     sample of ids has a bounded size and goes to the documents, whose other rows
-    are not moved.  Each worker learns from its share; z and n are averaged.
+    are not moved; of several texts of an id the smallest by its bytes is learned.
+    Each worker learns from its share; z and n are averaged over the workers that
+    got any.
     """
     sample = labelled_sample(labels, usable, rows)
     chosen = (
         docs.select("doc_id", F.col("text").cast("binary").alias("text"))
         .join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text"))
         .repartition(WORKERS, F.xxhash64("doc_id"))
         .sortWithinPartitions(F.xxhash64("doc_id", "text"))
     )
@@ -100,10 +105,15 @@ def fit(
         if known:
             z, n = learn(known, marks, settings)
             index = np.flatnonzero(n)
+            known.clear()
             yield pa.RecordBatch.from_pydict({"index": index, "z": z[index], "n": n[index]})
+            del z, n, index
+            give_back()
 
-    states = chosen.mapInArrow(run, "index long, z double, n double")
-    mean = states.groupBy("index").agg((F.sum("z") / WORKERS).alias("z"), (F.sum("n") / WORKERS).alias("n"))
+    learned = chosen.mapInArrow(run, "index long, z double, n double")
+    states = hand_over(learned, "learned-states").read(docs.sparkSession)
+    workers = max(states.filter(F.col("index") == 0).count(), 1)  # every text holds coordinate 0
+    mean = states.groupBy("index").agg((F.sum("z") / workers).alias("z"), (F.sum("n") / workers).alias("n"))
     # What L1 leaves at zero never reaches the driver.
     merged = mean.filter(F.abs("z") > settings.l1).orderBy("index").toArrow()
     z, n = merged["z"].to_numpy(), merged["n"].to_numpy()
@@ -142,5 +152,5 @@ def accepted(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = T
 
 
 def held_out() -> Column:
-    """Rows whose labels no model may see."""
-    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    """Rows whose labels no model may see; a row without doc_id is none of them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))

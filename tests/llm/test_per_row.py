@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from llm_cases import no_documents, odd_documents, odd_rows
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rebasket.llm import decontaminate, toxicity
@@ -117,6 +119,44 @@ def test_notices_with_errors_are_found_beside_better_ones():
         assert [m.edits == 0 for m in found] == [p in NOTICES for p in parts]
 
 
+def test_edits_are_characters_and_words_are_counted_once(spark):
+    many = "MIT license, " * 3000
+    rows = [(1, "é mit licénse ü"), (2, many), (3, "mit\u00a0license"), (4, "漢字 all rights resérved")]
+    got = {r["doc_id"]: r for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [tuple(s) for s in got[1]["spans"]] == [("mit", 1, 2, 1)] and got[1]["n_base"] == 0
+    assert [s["first_word"] for s in got[2]["spans"]] == list(range(0, 6000, 2)) and got[2]["n_base"] == 3000
+    assert got[3]["labels"] == "mit" and got[3]["n_words"] == 1
+    assert [tuple(s) for s in got[4]["spans"]] == [("proprietary", 1, 3, 1)]
+
+
+def _fewest_edits(notice: str, text: str) -> int:
+    """Of ``notice`` against any part of ``text``, by the plain table of distances."""
+    above = [0] * (len(text) + 1)
+    for k, c in enumerate(notice, 1):
+        row = [k]
+        for j, d in enumerate(text, 1):
+            row.append(min(above[j - 1] + (c != d), above[j] + 1, row[-1] + 1))
+        above = row
+    return min(above)
+
+
+def test_notices_are_found_by_edit_distance():
+    rng = random.Random(11)
+    search = NoticeSearch(NOTICES, ERROR_SHARE)
+    for notice, k in zip(NOTICES, search.errors):
+        for edits in range(k + 3):
+            letters = list(notice)
+            for _ in range(edits):
+                at = rng.randrange(len(letters))
+                letters[at : at + 1] = rng.choice(["", "é", "x", letters[at] + "q"])
+            words = "".join(letters).split()
+            text = f" some words {' '.join(words)} stand here "
+            found = {(m.label, m.length) for m in search.matches(text)}
+            for other, bound in zip(NOTICES, search.errors):
+                near = _fewest_edits(f" {other} ", text) <= bound
+                assert near == ((NOTICES[other], len(other) + 2) in found), (text, other)
+
+
 # Decontamination
 
 
@@ -231,7 +271,44 @@ def test_toxicity_of_odd_tables(spark):
     assert toxicity.score_toxicity(no_documents(spark), model).count() == 0
 
 
+def test_learning_equals_plain_ftrl():
+    rng = random.Random(3)
+    rows = [np.array([0, *sorted(rng.sample(range(1, 60), rng.randrange(8)))], np.int32) for _ in range(200)]
+    marks = [int(7 in r or rng.random() < 0.1) for r in rows]
+    settings = toxicity.Ftrl(l1=0.5, l2=0.1, epochs=2)
+    z, n = toxicity.learn(rows, marks, settings)
+    plain_z, plain_n = [0.0] * 60, [0.0] * 60
+
+    def weight(i):
+        if abs(plain_z[i]) <= settings.l1:
+            return 0.0
+        rate = (settings.beta + math.sqrt(plain_n[i])) / settings.alpha + settings.l2
+        return -(plain_z[i] - math.copysign(settings.l1, plain_z[i])) / rate
+
+    for _ in range(settings.epochs):
+        for row, mark in zip(rows, marks):
+            weights = {int(i): weight(i) for i in row}
+            gradient = 1 / (1 + math.exp(-sum(weights.values()))) - mark
+            for i, w in weights.items():
+                sigma = (math.sqrt(plain_n[i] + gradient**2) - math.sqrt(plain_n[i])) / settings.alpha
+                plain_z[i] += gradient - sigma * w
+                plain_n[i] += gradient**2
+    assert np.allclose(z[:60], plain_z) and np.allclose(n[:60], plain_n) and not n[60:].any()
+
+
+def test_one_text_per_id_and_a_worker_without_rows(spark):
+    docs = spark.createDataFrame([(1, "so bad"), (1, "a fine day")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    settings = toxicity.Ftrl(l1=0.01)
+    model = toxicity.fit(docs, labels, F.lit(True), settings)
+    z, n = toxicity.learn(toxicity.features([b"a fine day"]), [1], settings)
+    index = np.flatnonzero(np.abs(z) > settings.l1)
+    assert model["index"].tolist() == index.tolist()
+    assert np.allclose(model["weight"], settings.weights(z[index], n[index]))
+
+
 def test_held_out_is_the_checksum_of_the_id(spark):
     ids = spark.range(200).withColumnRenamed("id", "doc_id")
     got = {r[0]: r[1] for r in ids.select("doc_id", toxicity.held_out()).collect()}
     assert all(v == (zlib.crc32(str(k).encode()) % 4 == 2) for k, v in got.items())
+    assert spark.sql("SELECT CAST(NULL AS BIGINT) AS doc_id").select(toxicity.held_out()).first()[0] is False
