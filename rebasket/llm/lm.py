@@ -26,6 +26,9 @@ WARM_SEGMENTS = 4096
 """Segments from which one task makes the weights that all workers start from."""
 WORKER_SEGMENTS = 8192
 BUFFER_TOKENS = 1_500_000
+FAN_IN = 32
+"""Sets of weights that one step averages."""
+_SEEDS = (1 << 64) - 1
 END_WORD = b""
 """No word is empty, so the end of a text is counted under this one."""
 
@@ -124,24 +127,28 @@ def _coded(texts: list[list[bytes]], codes: dict[bytes, int]) -> tuple[list[np.n
 
 
 def _segments(docs: DataFrame, known: Vocabulary) -> DataFrame:
-    """order and tokens of every segment of all texts; the order, a hash with the row's number, spreads copies."""
+    """order and tokens of every segment of all texts; the order, a hash with the doc_id, spreads copies.
+
+    It depends on the rows alone, not on how they are spread.  Rows of equal
+    doc_id and text go to one worker, which reads them as a stream.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(known.codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = sent.value
         for part in slices(batches):
             orders, tokens = [], []
-            for text, row in zip(part.column("text").to_pylist(), part.column("row").to_pylist()):
+            for text, seed in zip(part.column("text").to_pylist(), part.column("seed").to_pylist()):
                 words = [*spaced_words(text), END_WORD]
                 for at in range(0, len(words), SEGMENT):
                     own = words[at : at + SEGMENT]
-                    orders.append(xxhash.xxh3_64_intdigest(b" ".join(own), row))
+                    orders.append(xxhash.xxh3_64_intdigest(b" ".join(own), (seed + at) & _SEEDS))
                     tokens.append(np.fromiter((codes.get(w, gru.UNKNOWN) for w in own), np.int16, len(own)).tobytes())
             order = (np.array(orders, np.uint64) >> np.uint64(2)).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"order": order, "tokens": pa.array(tokens, pa.binary())})
 
-    numbered_rows = docs.withColumn("row", F.monotonically_increasing_id())
-    return with_bytes(numbered_rows, "row").mapInArrow(run, "order long, tokens binary")
+    seeded = docs.select("text", F.xxhash64("doc_id").alias("seed"))
+    return with_bytes(seeded, "seed").mapInArrow(run, "order long, tokens binary")
 
 
 def _trained(segments: DataFrame, start: bytes, rate: float) -> DataFrame:
@@ -170,17 +177,19 @@ def _mean(frames: list[tuple[int, bytes]]) -> tuple[int, bytes]:
 
 
 def _averaged(trained: DataFrame, workers: int) -> bytes | None:
-    """The mean weights, by tokens; averaged in groups first, so few reach the driver."""
-    groups = max(1, int(workers**0.5))
+    """The mean weights, by tokens; averaged in a tree, so one set reaches the driver."""
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("part")
         n, weights = _mean(list(zip(frame["n"].tolist(), frame["weights"].tolist())))
-        return pd.DataFrame({"n": [n], "weights": [weights]})
-
-    if workers > 1:
-        keyed = trained.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(groups)))
-        trained = keyed.groupBy("part").applyInPandas(merge, "n long, weights binary")
-    rows = [(r[0], bytes(r[1])) for r in trained.collect()]
+        return pd.DataFrame({"part": [frame["above"].iloc[0]], "n": [n], "weights": [weights]})
+
+    level = trained.select(F.spark_partition_id().cast("long").alias("part"), "n", "weights")
+    while workers > 1:
+        above = level.withColumn("above", F.floor(F.col("part") / FAN_IN))
+        level = above.groupBy("above").applyInPandas(merge, "part long, n long, weights binary")
+        workers = -(-workers // FAN_IN)
+    rows = [(r["n"], bytes(r["weights"])) for r in level.orderBy("part").collect()]
     return _mean(rows)[1] if rows else None
 
 
@@ -189,7 +198,9 @@ def fit(docs: DataFrame, known: Vocabulary) -> bytes:
 
     One task warms the weights up on a bounded share of the segments; then each
     worker learns from its part and the weights are averaged, so the work is
-    spread and grows with the input.  Every segment is learned from.
+    spread and grows with the input.  Every segment is learned from.  The number
+    of workers follows from the segments alone, so the weights do not depend on
+    the cluster.
     """
     start = gru.packed(gru.fresh(known.log_share))
     segments = hand_over(_segments(docs, known), "segments").read(docs.sparkSession)
@@ -197,10 +208,10 @@ def fit(docs: DataFrame, known: Vocabulary) -> bytes:
     if not count:
         return start
     edge = int(min(WARM_SEGMENTS / count, 1.0) * (1 << 62))
-    warm = segments.filter(F.col("order") <= edge).coalesce(1).sortWithinPartitions("order")
+    warm = segments.filter(F.col("order") <= edge).repartition(1).sortWithinPartitions("order", "tokens")
     start = _averaged(_trained(warm, start, gru.RATE), 1) or start
-    workers = max(docs.sparkSession.sparkContext.defaultParallelism, -(-count // WORKER_SEGMENTS))
-    dealt = segments.repartition(workers, "order").sortWithinPartitions("order")
+    workers = -(-count // WORKER_SEGMENTS)
+    dealt = segments.repartition(workers, "order").sortWithinPartitions("order", "tokens")
     return _averaged(_trained(dealt, start, gru.RATE / 2), workers) or start
 
 

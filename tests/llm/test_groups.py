@@ -478,6 +478,17 @@ def test_gradients_against_differences():
         assert seen[name][place] == pytest.approx((both[0] - both[1]) / 2e-4, rel=0.02, abs=2e-3)
 
 
+def test_scores_do_not_depend_on_how_rows_are_spread(spark, monkeypatch):
+    """Several workers, averaged in a tree of several levels."""
+    monkeypatch.setattr(lm, "WORKER_SEGMENTS", 40)
+    monkeypatch.setattr(lm, "FAN_IN", 2)
+    docs = odd_documents(spark)
+    known = lm.vocabulary(lm.token_counts(docs))
+    weights = [lm.fit(d, known) for d in (docs.repartition(2), docs.repartition(7).orderBy(F.desc("text")))]
+    assert weights[0] == weights[1] != gru.packed(gru.fresh(known.log_share))
+
+
+
 def test_every_segment_of_the_training_texts_is_learned_from(spark, monkeypatch):
     docs = plain_table(spark).filter(lm.training())
     known = lm.vocabulary(lm.token_counts(docs))
