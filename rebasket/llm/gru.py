@@ -96,7 +96,12 @@ class Lanes:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
+    return x
 
 
 def _step(model, h, x):
@@ -111,22 +116,48 @@ def _step(model, h, x):
     return new + z * (h - new), (z, r, inner, new)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _shares(x: np.ndarray) -> np.ndarray:
+    """Softmax of each column, in place.  Numpy adds up rows much faster than within them."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    return x
+
+
+def _log_share(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax of each column, at its chosen row; ``x`` is overwritten."""
+    x -= x.max(axis=0)
+    own = x[chosen, np.arange(x.shape[1])]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=0))
+
+
+def _logits(states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """A column per state."""
+    found = weights.T @ states.T
+    found += bias[:, None]
+    return found
+
+
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the order of their classes, and where each class starts."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")  # a radix sort
+    return order, np.searchsorted(group[order], np.arange(CLASSES + 1))
 
 
 def log_chance(model, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target: of its class, then of the word in it."""
     group, word = targets // CLASS_WORDS, targets % CLASS_WORDS
-    found = np.take_along_axis(_log_softmax(states @ model["class"] + model["class_bias"]), group[:, None], 1)[:, 0]
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    found = _log_share(_logits(states, model["class"], model["class_bias"]), group)
+    order, cuts = _by_class(group)
+    sorted_states, sorted_words = states[order], word[order]
+    inner = np.empty(len(order), found.dtype)
     for c in range(CLASSES):
-        own = order[cuts[c] : cuts[c + 1]]
-        if len(own):
-            inner = _log_softmax(states[own] @ model["word"][c] + model["word_bias"][c])
-            found[own] += inner[np.arange(len(own)), word[own]]
+        own = slice(cuts[c], cuts[c + 1])
+        if cuts[c] < cuts[c + 1]:
+            logits = _logits(sorted_states[own], model["word"][c], model["word_bias"][c])
+            inner[own] = _log_share(logits, sorted_words[own])
+    found[order] += inner
     return found
 
 
@@ -206,26 +237,28 @@ class Trainer:
     def _output(self, states: np.ndarray, targets: np.ndarray):
         model = self.model
         group, word = targets // CLASS_WORDS, targets % CLASS_WORDS
-        error = np.exp(_log_softmax(states @ model["class"] + model["class_bias"]))
-        error[np.arange(len(group)), group] -= 1
-        grads = {"class": states.T @ error, "class_bias": error.sum(axis=0)}
-        to_states = error @ model["class"].T
+        error = _shares(_logits(states, model["class"], model["class_bias"]))
+        error[group, np.arange(len(group))] -= 1
+        grads = {"class": states.T @ error.T, "class_bias": error.sum(axis=1)}
+        to_states = error.T @ model["class"].T
         grads["word"] = np.zeros_like(model["word"])
         grads["word_bias"] = np.zeros_like(model["word_bias"])
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        order, cuts = _by_class(group)
+        sorted_states, sorted_words = states[order], word[order]
+        inner_to_states = np.empty_like(to_states)
         for c in range(CLASSES):
-            own = order[cuts[c] : cuts[c + 1]]
-            if len(own):
-                inner = np.exp(_log_softmax(states[own] @ model["word"][c] + model["word_bias"][c]))
-                inner[np.arange(len(own)), word[own]] -= 1
-                grads["word"][c] = states[own].T @ inner
-                grads["word_bias"][c] = inner.sum(axis=0)
-                to_states[own] += inner @ model["word"][c].T
+            own = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1]:
+                inner = _shares(_logits(sorted_states[own], model["word"][c], model["word_bias"][c]))
+                inner[sorted_words[own], np.arange(inner.shape[1])] -= 1
+                grads["word"][c] = sorted_states[own].T @ inner.T
+                grads["word_bias"][c] = inner.sum(axis=1)
+                inner_to_states[own] = inner.T @ model["word"][c].T
+        to_states[order] += inner_to_states
         return grads, to_states
 
     def _apply(self, grads, given: np.ndarray, into: np.ndarray, tokens: int) -> None:
-        order = np.argsort(given, kind="stable")
+        order = np.argsort(given, kind="stable")  # a radix sort of 16 bits
         words, cuts = np.unique(given[order], return_index=True)
         rows = np.add.reduceat(into[order], cuts, axis=0) / tokens
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) / tokens
