@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -85,6 +86,12 @@ def encoder(categories: Sequence[str]) -> list:
     ]
 
 
+# Rows times trees of one fit.  Per row and tree a fit keeps a sampling count and three
+# generations of the node the row is in; in all trees at once that is 2 kB a row.
+MAX_ROW_TREES = 200_000_000
+MIN_TREES = 10  # a fit reads all rows once per level, so fewer trees are not worth one
+
+
 def _share(value: object) -> str:
     """How many features a tree node looks at, in Spark's terms."""
     if value is None:
@@ -133,6 +140,23 @@ def classifier(config: ModelConfig, label: str, tree_memory_mb: int = 1024) -> R
     )
 
 
+def tree_groups(trees: int, rows: int, most: int = MAX_ROW_TREES, least: int = MIN_TREES) -> list[int]:
+    """How many trees each fit grows, nearly alike, so that what a fit keeps per row stays within bounds."""
+    fits = -(-trees // max(most // max(rows, 1), least, 1))
+    return [trees // fits + (k < trees % fits) for k in range(fits)]
+
+
+def grown_in_groups(forest: RandomForestClassifier, groups: Sequence[int]) -> list[RandomForestClassifier]:
+    """One forest per group, each with a seed and output columns of its own; a single group is the forest itself."""
+    if len(groups) == 1:
+        return [forest]
+    return [
+        forest.copy().setNumTrees(trees).setSeed(forest.getSeed() + k).setPredictionCol(f"prediction_{k}")
+        .setRawPredictionCol(f"raw_prediction_{k}").setProbabilityCol(f"probability_{k}")
+        for k, trees in enumerate(groups)
+    ]
+
+
 def assembler(numeric: Sequence[str], categories: Sequence[str]) -> VectorAssembler:
     """All model inputs in one vector; keys and other columns never reach the model."""
     return VectorAssembler(
@@ -150,28 +174,38 @@ def preprocessing(df: DataFrame, features: FeatureConfig) -> list:
 
 
 def fit_model(
-    train: DataFrame, features: FeatureConfig = FeatureConfig(), model: ModelConfig = ModelConfig()
+    train: DataFrame,
+    features: FeatureConfig = FeatureConfig(),
+    model: ModelConfig = ModelConfig(),
+    max_row_trees: int = MAX_ROW_TREES,
+    min_trees: int = MIN_TREES,
 ) -> PipelineModel:
+    """The stages before the forest, and the forest, for many rows in groups of trees (see ``tree_groups``)."""
     forest = classifier(model, features.label)
     inputs = Pipeline(stages=preprocessing(train, features)).fit(train)
+    # Stored: every fit reads the prepared rows three times, for classes, bins and trees.
     prepared = spread_rows(inputs.transform(train).select("features", features.label))
-    # Three passes of the fit read the prepared rows: classes, bins and trees.
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # A copy has no training summary.  The summary holds the session, which
-        # cannot travel to the tasks once any query of it has been observed.
-        return PipelineModel([*inputs.stages, forest.fit(prepared).copy()])
-    finally:
-        prepared.unpersist()
+    rows = hand_over(prepared, "prepared").read(train.sparkSession)
+    groups = tree_groups(forest.getNumTrees(), rows.count(), max_row_trees, min_trees)
+    # A copy has no training summary.  The summary holds the session, which
+    # cannot travel to the tasks once any query of it has been observed.
+    forests = [part.fit(rows).copy() for part in grown_in_groups(forest, groups)]
+    return PipelineModel([*inputs.stages, *forests])
 
 
 def predict(model: PipelineModel, records: DataFrame) -> DataFrame:
-    """Add ``prediction`` (0 or 1) and the positive ``probability``."""
+    """Add ``prediction`` (0 or 1) and the positive ``probability``, the mean over all trees."""
     scored = model.transform(records)
+    forests = [stage for stage in model.stages if isinstance(stage, RandomForestClassificationModel)]
+    if len(forests) == 1:
+        probability, prediction = vector_to_array("probability")[1], F.col("prediction")
+    else:
+        trees = sum(forest.getNumTrees for forest in forests)
+        votes = [vector_to_array(forest.getProbabilityCol())[1] * forest.getNumTrees for forest in forests]
+        probability = reduce(add, votes) / trees
+        prediction = probability > 0.5
     return scored.select(
-        *records.columns,
-        F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("probability"),
+        *records.columns, prediction.cast("int").alias("prediction"), probability.alias("probability")
     )
 
 

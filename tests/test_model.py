@@ -12,11 +12,13 @@ from rebasket.operators.model import (
     assembler,
     classifier,
     encoder,
+    fit_model,
     imputer,
     model_result,
     predict,
     require_columns,
     train,
+    tree_groups,
     with_integer_label,
 )
 
@@ -156,3 +158,27 @@ def test_forest_parameters_are_used_or_refused():
     assert forest.getFeatureSubsetStrategy() == "log2" and forest.getImpurity() == "entropy"
     with pytest.raises(ValueError, match="warm_start"):
         classifier(ModelConfig(params={"warm_start": True}), "y")
+
+
+def test_many_rows_grow_few_trees_at_a_time(features, tmp_path):
+    """A fit of all trees keeps 100 sampling counts and node numbers per row, mostly on disk."""
+    assert tree_groups(100, 1_000_000) == [100]
+    assert tree_groups(100, 30_000_000) == [10] * 10
+    assert tree_groups(11, 30_000_000) == [6, 5]
+    whole = fit_model(features, model=SMALL)
+    grouped = fit_model(features, model=SMALL, max_row_trees=2 * 2_000, min_trees=1)
+    assert [len(stage.trees) for stage in grouped.stages[-3:]] == [2, 2, 1]
+    path = str(tmp_path / "model")
+    grouped.save(path)
+    rows = predict(type(grouped).load(path), features).collect()
+    assert len(rows) == 2_000 and all(r.prediction == int(r.probability > 0.5) for r in rows)
+    again = predict(fit_model(features, model=SMALL, max_row_trees=2 * 2_000, min_trees=1), features).collect()
+    key = lambda r: r.order_number
+    assert [r.probability for r in sorted(again, key=key)] == [r.probability for r in sorted(rows, key=key)]
+    votes = grouped.transform(features).select(
+        "order_number", *[vector_to_array(f"probability_{k}")[1].alias(f"p{k}") for k in range(3)]
+    )
+    mean = {r.order_number: (2 * r.p0 + 2 * r.p1 + r.p2) / 5 for r in votes.collect()}
+    assert all(abs(r.probability - mean[r.order_number]) < 1e-12 for r in rows)
+    hits = sum(r.prediction == r.reordered for r in rows)
+    assert hits > 1_600 and len(whole.stages) == len(grouped.stages) - 2
