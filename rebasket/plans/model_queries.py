@@ -21,6 +21,7 @@ from rebasket.operators.model import (
 from rebasket.plans.catalog import RECORD_KEY, Workbench, query
 from rebasket.plans.pipeline import Job, batch_records, score_batch
 from rebasket.session import spread_rows
+from rebasket.sources.records import write_json
 from rebasket.sources.runs import load_model
 from rebasket.sources.tables import read_csv, write_csv
 
@@ -187,7 +188,7 @@ def validation_export(bench: Workbench) -> DataFrame:
 def batch_scores_with_ids(bench: Workbench) -> DataFrame:
     """JSON records with gaps and odd values: what the model can fill is scored, with its ids."""
     path = bench.scratch("records")
-    bench.rough_records.write.json(path)
+    write_json(bench.rough_records, path, "gzip")
     job = Job(raw="", root=bench.model_root, records=path, record_identity=("user_id", "product_id"))
     scored = score_batch(bench.spark, job)
     return scored.select(
@@ -202,7 +203,7 @@ def batch_scores_with_ids(bench: Workbench) -> DataFrame:
 def batch_records_set_aside(bench: Workbench) -> DataFrame:
     """The records of the same batch that have a value of the wrong kind."""
     path = bench.scratch("records")
-    bench.rough_records.write.json(path)
+    write_json(bench.rough_records, path, "gzip")
     job = Job(raw="", root=bench.model_root, records=path, record_identity=("user_id", "product_id"))
     _, aside = batch_records(bench.spark, job)
     return aside.select("user_id", "product_id", F.explode("errors.field").alias("field"))

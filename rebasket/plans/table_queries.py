@@ -106,7 +106,7 @@ def csv_damaged_lines(bench: Workbench) -> DataFrame:
 )
 def json_scan_roundtrip(bench: Workbench) -> DataFrame:
     records = bench.features.select(RECORD.fieldNames())
-    path = write_json(records, bench.scratch("records-json"))
+    path = write_json(records, bench.scratch("records-json"), "gzip")
     return as_declared(read_records(bench.spark, path))
 
 
@@ -434,7 +434,7 @@ def _raw_folder(bench: Workbench, **places: str) -> str:
         "products": bench.products,
     }
     for table, place in places.items():
-        write_csv(frames[table], f"{raw}/{place}{names[table]}")
+        write_csv(frames[table], f"{raw}/{place}{names[table]}", "gzip")
     return raw
 
 

@@ -29,7 +29,7 @@ def read_records(
     return records
 
 
-def write_json(df: DataFrame, path: str) -> str:
+def write_json(df: DataFrame, path: str, compression: str = "none") -> str:
     """Replace a folder of JSON lines, one object per row."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path, compression=compression)
     return path

@@ -161,7 +161,7 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int =
     return df.sparkSession.table(name)
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> str:
     """Replace a CSV table; each part file carries the header."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path, compression=compression)
     return path
