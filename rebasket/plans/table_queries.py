@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
 from functools import reduce
 
@@ -49,6 +50,9 @@ from rebasket.sources.tables import (
     write_table,
 )
 
+BUCKET_ROWS = 1_000_000  # of the joined table in a bucket
+FILE_ROWS = 500_000  # orders in a damaged CSV file
+
 _ORDER_COLUMNS = (
     "order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, "
     "days_since_prior_order"
@@ -84,11 +88,12 @@ def csv_damaged_lines(bench: Workbench) -> DataFrame:
     path = bench.scratch("damaged-csv")
     header = bench.spark.createDataFrame([(",".join(names),)], "value string")
     # Every file needs a header of its own: sorted, it is the first row of each.
-    tasks = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("task")
-    task = F.pmod(F.xxhash64("order_id"), F.lit(4)).cast("int").alias("task")
+    files = max(4, math.ceil(bench.orders.count() / FILE_ROWS))
+    tasks = F.explode(F.sequence(F.lit(0), F.lit(files - 1))).alias("task")
+    task = F.pmod(F.xxhash64("order_id"), F.lit(files)).cast("int").alias("task")
     lines = written.select(task, F.lit(1).alias("place"), line.alias("value"))
     heads = header.select(tasks, F.lit(0).alias("place"), "value")
-    dealt = heads.unionByName(lines).repartition(4, "task").sortWithinPartitions("task", "place")
+    dealt = heads.unionByName(lines).repartition(files, "task").sortWithinPartitions("task", "place")
     dealt.select("value", "task").write.partitionBy("task").text(path)
     good, damaged = read_csv_checked(bench.spark, f"{path}/task=*", TABLES["orders"])
     numbers = bench.orders.select(F.col("order_id").cast("string").alias("order_id"), "order_number")
@@ -490,5 +495,7 @@ def join_back_user_features_bucketed(bench: Workbench) -> DataFrame:
     """Lines stored by customer: their features and the join back shuffle nothing."""
     path = bench.scratch("joined_by_user")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    stored = write_bucketed(bench.joined, name, path, "user_id", buckets=8)
+    # A task reads a bucket, so there are as many as the rows ask for.
+    buckets = max(8, math.ceil(bench.joined.count() / BUCKET_ROWS))
+    stored = write_bucketed(bench.joined, name, path, "user_id", buckets=buckets)
     return stored.join(user_features(stored), "user_id", "left")
