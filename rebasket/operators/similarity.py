@@ -245,8 +245,13 @@ def text_top_k(
         return weights.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
 
     docs = hand_over(weighed(counts), "weights").read(spark)
-    asked = weighed(term_counts(questions, question_id))
-    pairs = docs.select(F.col("id").alias("doc_id"), "term", "w").join(
+    # Stored, the questions have a known size: as long as they are small, Spark sends
+    # them to the documents' terms instead of shuffling those once more.
+    asked = hand_over(weighed(term_counts(questions, question_id)), "question-weights").read(spark)
+    # Dealt by document, the terms that are asked for make whole scores in one task: the
+    # pairs of questions and documents, of which there are far more, are not shuffled.
+    held = docs.join(asked.select("term").distinct(), "term", "left_semi").repartition("id")
+    pairs = held.select(F.col("id").alias("doc_id"), "term", "w").join(
         asked.select(F.col("id").alias("query_id"), "term", F.col("w").alias("v")), "term"
     )
     sums = pairs.groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from rebasket.operators.similarity import text_top_k
 from rebasket.plans import table_queries
 from rebasket.plans.catalog import Workbench
 from rebasket.session import new_path
@@ -103,3 +104,16 @@ def test_records_between_two_steps_are_compressed(bench):
 def test_raw_files_between_two_steps_are_compressed(bench):
     raw = Path(table_queries._raw_folder(bench, orders="", products="archive/"))
     assert list(raw.glob("orders.csv/*.csv.gz")) and list(raw.glob("archive/products.csv/*.csv.gz"))
+
+
+def test_few_questions_do_not_shuffle_the_terms_of_the_documents(spark):
+    docs = spark.range(40).select("id", F.concat_ws(" ", F.lit("w"), (F.col("id") % 7).cast("string"), F.lit("x y")).alias("text"))
+    asked = spark.createDataFrame([("a", "3 w"), ("b", "unknown")], "item string, text string")
+    found = text_top_k(docs, asked, "id", "item")
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    by_term = [line for line in plan if "Join [term" in line]
+    assert len(by_term) == 2 and all("BroadcastHashJoin" in line for line in by_term)
+    assert not [line for line in plan if "Exchange hashpartitioning(query_id" in line and "doc_id" in line]
+    assert [(r.query_id, r.doc_id, r.rank) for r in found.orderBy("query_id", "rank").collect()] == [
+        ("a", 3, 1), ("a", 10, 2), ("a", 17, 3), ("a", 24, 4)
+    ]
