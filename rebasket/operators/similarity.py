@@ -14,6 +14,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ MAX_QUERY_ROWS = 4096
 MAX_QUERY_VALUES = 8_000_000  # 64 MB of doubles
 MAX_SHARD_VALUES = 16_000_000
 MAX_BLOCK_VALUES = 2_000_000  # distances that a task holds at once
+MEASURED_ROWS = 16_384  # pairs that are measured exactly at once
 
 # Task functions travel by value, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,28 +42,30 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return flat.reshape(len(vectors), -1)
 
 
-def _nearest(docs: np.ndarray, query: np.ndarray, rough: np.ndarray, k: int):
-    """Row numbers and squared distances of all rows that may be among the k nearest.
-
-    ``rough`` comes from a matrix product and carries rounding error; everything
-    within a safe margin of the k-th value is measured again exactly.
-    """
-    if len(rough) > k:
-        kth = np.partition(rough, k - 1)[k - 1]
-        margin = 1e-9 * (1.0 + abs(kth) + np.abs(query).max(initial=0.0) ** 2 * len(query))
-        rows = np.flatnonzero(rough <= kth + margin)
-    else:
-        rows = np.arange(len(rough))
-    difference = docs[rows] - query
-    return rows, np.einsum("ij,ij->i", difference, difference)
+def _squares(vectors: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", vectors, vectors)
 
 
 class _Best:
-    """The k nearest rows per query over the batches of a task; ties go to the lower id."""
+    """The k nearest rows per query over the batches of a task; ties go to the lower id.
+
+    Rough distances of a block come from one matrix product and carry rounding
+    error; everything within a safe margin of the k-th distance known so far is
+    measured again exactly.  All queries of a block are treated at once.
+    """
 
     def __init__(self, query_ids: list, queries: np.ndarray, k: int, skip_self: bool):
         self.query_ids, self.queries, self.k, self.skip_self = query_ids, queries, k, skip_self
-        self.found: list[list[tuple]] = [[] for _ in query_ids]
+        self.kth = np.full(len(query_ids), np.inf)
+        # Of every row held: its query, its exact distance and its id, by query and then in order.
+        self.query = np.zeros(0, np.int64)
+        self.distance = np.zeros(0)
+        self.doc: pa.Array | None = None
+        if query_ids:
+            self.lengths = _squares(queries)
+            largest = np.abs(queries).max(axis=1, initial=0.0) if queries.size else np.zeros(len(query_ids))
+            self.scale = 1.0 + largest**2 * queries.shape[1]
+            self.left = np.column_stack((-2.0 * queries, np.ones(len(queries))))
 
     def add(self, ids: pa.Array, docs: np.ndarray) -> None:
         if not self.query_ids:
@@ -72,27 +76,61 @@ class _Best:
             self._add(ids.slice(start, step), docs[start : start + step])
 
     def _add(self, ids: pa.Array, docs: np.ndarray) -> None:
-        lengths = np.einsum("ij,ij->i", docs, docs)
-        rough = lengths[:, None] + np.einsum("ij,ij->i", self.queries, self.queries)
-        rough = rough - 2.0 * (docs @ self.queries.T)
+        # Without the square of the query, which is the same for all rows.
+        rough = self.left @ np.column_stack((docs, _squares(docs))).T
         wanted = self.k + self.skip_self
-        for i, query in enumerate(self.queries):
-            rows, exact = _nearest(docs, query, rough[:, i], wanted)
-            pairs = list(zip(exact.tolist(), ids.take(pa.array(rows)).to_pylist()))
-            if self.skip_self:
-                pairs = [pair for pair in pairs if pair[1] != self.query_ids[i]]
-            self.found[i] = sorted(self.found[i] + pairs)[: self.k]
+        limit = np.where(np.isinf(self.kth), np.inf, self.kth - self.lengths)
+        open_ = np.flatnonzero(np.isinf(self.kth))
+        every = np.zeros(len(self.kth), bool)
+        if len(docs) <= wanted:
+            every[open_] = True
+        elif len(open_):
+            limit[open_] = np.partition(rough[open_], wanted - 1, axis=1)[:, wanted - 1]
+        limit += 1e-9 * (self.scale + np.abs(limit + self.lengths))
+        near = rough <= limit[:, None]
+        near[every] = True
+        flat = np.flatnonzero(near)
+        for start in range(0, len(flat), MEASURED_ROWS):
+            query, row = np.divmod(flat[start : start + MEASURED_ROWS], len(docs))
+            difference = docs[row] - self.queries[query]
+            self._keep(query, _squares(difference), ids.take(pa.array(row)))
+
+    def _keep(self, query: np.ndarray, distance: np.ndarray, ids: pa.Array) -> None:
+        inside = ~(distance > self.kth[query])
+        if self.skip_self:
+            own = [self.query_ids[q] for q in query.tolist()]
+            inside &= np.fromiter((a != b for a, b in zip(ids.to_pylist(), own)), bool, len(own))
+        if not inside.any():
+            return
+        ids = ids.filter(pa.array(inside))
+        query = np.concatenate((self.query, query[inside]))
+        distance = np.concatenate((self.distance, distance[inside]))
+        doc = ids if self.doc is None else pa.concat_arrays([self.doc, ids])
+        place = pc.rank(doc, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+        order = np.lexsort((place, distance, query))
+        query = query[order]
+        first = np.flatnonzero(np.diff(query, prepend=-1))
+        rank = np.arange(len(query)) - np.repeat(first, np.diff(first, append=len(query)))
+        kept = rank < self.k
+        order = order[kept]
+        self.query, self.distance, self.doc = query[kept], distance[order], doc.take(pa.array(order))
+        last = rank[kept] == self.k - 1
+        self.kth[self.query[last]] = self.distance[last]
+
+    @property
+    def found(self) -> list[list[tuple]]:
+        """(distance, id) of the rows held, per query."""
+        rows: list[list[tuple]] = [[] for _ in self.query_ids]
+        for query, distance, doc in zip(self.query.tolist(), self.distance.tolist(), self.doc.to_pylist() if self.doc is not None else []):
+            rows[query].append((distance, doc))
+        return rows
 
     def batch(self, schema: pa.Schema) -> pa.RecordBatch:
-        rows = [
-            (self.query_ids[i], doc, distance)
-            for i, best in enumerate(self.found)
-            for distance, doc in best
-        ]
-        columns = list(zip(*rows)) if rows else [(), (), ()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), type=f.type) for c, f in zip(columns, schema)], schema=schema
-        )
+        if self.doc is None:
+            return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)
+        asked = pa.array(self.query_ids, schema.field(0).type).take(pa.array(self.query))
+        columns = [asked, self.doc.cast(schema.field(1).type), pa.array(self.distance)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def _rank(candidates: DataFrame, k: int) -> DataFrame:

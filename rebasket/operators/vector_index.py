@@ -36,6 +36,8 @@ SHARD_ROWS = 50_000
 """Rows of a cell that one task compares; a larger cell is dealt over several."""
 QUERY_ROWS = 2048
 """Queries that meet a shard in one step."""
+TASK_PAIRS = 4_000_000_000
+"""Pairs of rows and queries that one task compares; more queries are dealt over copies of the rows."""
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -181,18 +183,41 @@ def _visits(queries: DataFrame, cells: list, first: int | None, bounded: bool) -
     return queries.mapInArrow(visit, schema)
 
 
-def _compare(index: VectorIndex, visits: DataFrame, k: int, skip_self: bool) -> DataFrame:
+def _groups(cells: list, queries: int, task_pairs: int) -> list[tuple[int, int, int, int]]:
+    """(cell, shards, blocks, first): into how many blocks the queries of a cell are dealt.
+
+    Each shard and block is a group, numbered from ``first`` on; a group has about
+    ``task_pairs`` pairs at most, even if every query visits the cell.
+    """
+    dealt, first = [], 0
+    for c in cells:
+        rows = -(-c["rows"] // c["shards"])
+        blocks = max(1, -(-queries // max(QUERY_ROWS, task_pairs // rows)))
+        dealt.append((c["cell"], c["shards"], blocks, first))
+        first += c["shards"] * blocks
+    return dealt
+
+
+def _compare(index: VectorIndex, visits: DataFrame, cells: list, queries: int, k: int, skip_self: bool) -> DataFrame:
     """(query_id, doc_id, distance): the k best rows per query and shard.
 
-    The rows of a shard are read once; its queries pass by in steps of bounded size.
+    The rows of a shard and a block of its queries, of ``queries`` in all, make one
+    task; the queries pass by in steps of bounded size.
     """
     spark = visits.sparkSession
-    shards = index.cells(spark).select("cell", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    dealt = _groups(cells, queries, TASK_PAIRS)
+    known = spark.createDataFrame(dealt, "cell int, shards int, blocks int, first int")
+    shards = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
+    blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    number = (F.col("first") + F.col("shard") * F.col("blocks") + F.col("block")).alias("group")
     rows = index.rows(spark)
-    asked = visits.join(F.broadcast(shards), "cell")  # bounded: a row per shard
-    tagged = rows.select("cell", "shard", F.lit(False).alias("asks"), "vector", F.col("id").alias("doc_id"))
+    of_query = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int").alias("block")
+    asked = visits.join(F.broadcast(known), "cell")  # bounded: a row per cell
+    asked = asked.select("id", "vector", "first", "blocks", shards, of_query).select("id", "vector", number)
+    held = rows.join(F.broadcast(known), "cell").select("id", "vector", "first", "shard", "blocks", blocks)
+    tagged = held.select(number, F.lit(False).alias("asks"), "vector", F.col("id").alias("doc_id"))
     both = tagged.unionByName(
-        asked.select("cell", "shard", F.lit(True).alias("asks"), "vector", F.col("id").alias("query_id")),
+        asked.select("group", F.lit(True).alias("asks"), "vector", F.col("id").alias("query_id")),
         allowMissingColumns=True,
     )
     schema = StructType(
@@ -205,18 +230,18 @@ def _compare(index: VectorIndex, visits: DataFrame, k: int, skip_self: bool) ->
     arrow = to_arrow_schema(schema)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Sorted by shard, its rows before its queries: only the rows are kept.
+        # Sorted by group, its rows before its queries: only the rows are kept.
         current, ids, vectors = None, [], []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "shard", "asks")], 1)
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "asks")], 1)
             borders = np.flatnonzero(np.any(np.diff(keys.astype(np.int64), axis=0) != 0, axis=1)) + 1
             for x, y in zip([0, *borders.tolist()], [*borders.tolist(), len(keys)]):
                 part = batch.slice(x, y - x)
-                if tuple(keys[x][:2]) != current:
-                    current, ids, vectors = tuple(keys[x][:2]), [], []
-                if not keys[x][2]:
+                if keys[x][0] != current:
+                    current, ids, vectors = keys[x][0], [], []
+                if not keys[x][1]:
                     ids.append(part.column("doc_id"))
                     vectors.append(_matrix(part.column("vector")))
                     continue
@@ -229,8 +254,9 @@ def _compare(index: VectorIndex, visits: DataFrame, k: int, skip_self: bool) ->
                         best.add(doc_ids, docs)
                     yield best.batch(arrow)
 
-    order = ["cell", "shard", "asks"]
-    return both.repartition("cell", "shard").sortWithinPartitions(*order).mapInArrow(search, schema)
+    groups = sum(shards * blocks for _, shards, blocks, _ in dealt)
+    # One task per group: hashed, several large groups would meet in one task.
+    return both.repartitionById(groups, "group").sortWithinPartitions("group", "asks").mapInArrow(search, schema)
 
 
 def search_cells(
@@ -251,12 +277,13 @@ def search_cells(
     schema += f"{index.rows(spark).schema['id'].dataType.simpleString()}, distance double, rank int"
     if not cells:
         return spark.createDataFrame([], schema)
+    queries = asked.count()
     order = Window.partitionBy("query_id").orderBy("distance", "doc_id")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    near = ranked(_compare(index, _visits(asked, cells, first, False), k, skip_self))
+    near = ranked(_compare(index, _visits(asked, cells, first, False), cells, queries, k, skip_self))
     if not exact:
         return near
     near = hand_over(near.drop("rank"), "near").read(spark)
@@ -267,4 +294,5 @@ def search_cells(
     limited = asked.join(bounds.withColumnRenamed("query_id", "id"), "id", "left").select(
         "id", "vector", F.coalesce("bound", F.lit(float("inf"))).alias("bound")
     )
-    return ranked(near.unionByName(_compare(index, _visits(limited, cells, first, True), k, skip_self)))
+    further = _compare(index, _visits(limited, cells, first, True), cells, queries, k, skip_self)
+    return ranked(near.unionByName(further))

@@ -193,3 +193,34 @@ def test_blocks_of_distances_do_not_change_the_result(spark, vectors, monkeypatc
     best.add(pa.array([i for i, _ in vectors]), np.array([v for _, v in vectors]))
     got = {(best.query_ids[i], doc, rank) for i, f in enumerate(best.found) for rank, (_, doc) in enumerate(f, 1)}
     assert got == brute(vectors, vectors[:30], 4, True)
+
+
+def test_queries_of_a_cell_are_dealt_over_tasks(spark, vectors, tmp_path, monkeypatch):
+    """No task compares more pairs than its share, however many queries visit a cell."""
+    from rebasket.operators import vector_index
+
+    rows = vectors + [(1000 + k, [1.0] * 6) for k in range(60)]
+    frame = spark.createDataFrame(rows, "id long, vector array<double>").repartition(4)
+    index = vector_index.build_vector_index(frame, str(tmp_path / "index"), cells=3, shard_rows=50)
+    monkeypatch.setattr(vector_index, "QUERY_ROWS", 16)
+    monkeypatch.setattr(vector_index, "TASK_PAIRS", 2000)
+    cells = index.cells(spark).collect()
+    dealt = vector_index._groups(cells, len(rows), 2000)
+    rows_of = {c["cell"]: -(-c["rows"] // c["shards"]) for c in cells}
+    assert all(blocks > 1 and rows_of[c] * -(-len(rows) // blocks) <= 2000 for c, _, blocks, _ in dealt)
+    assert [first for *_, first in dealt][1:] == np.cumsum([s * b for _, s, b, _ in dealt]).tolist()[:-1]
+    found_ = vector_index.search_cells(index, frame, skip_self=True, first=1)
+    assert found(found_) == brute(rows, rows, 4, True)
+
+
+def test_ties_are_kept_in_bounds_and_text_ids_in_order():
+    """Very many equal vectors leave k rows per query after each step; ids of any kind are ordered."""
+    import pyarrow as pa
+
+    best = similarity._Best(["b", "z"], np.zeros((2, 3)), 4, True)
+    for start in range(0, 900, 300):
+        best.add(pa.array([f"{k % 7}é{k}" for k in range(start, start + 300)] + ["b", "z"]), np.zeros((302, 3)))
+        assert len(best.distance) == 8
+    names = sorted({f"{k % 7}é{k}" for k in range(900)})
+    assert [[doc for _, doc in f] for f in best.found] == [names[:4], names[:4]]
+    assert best.batch(pa.schema([("q", pa.string()), ("d", pa.string()), ("x", pa.float64())])).num_rows == 8
