@@ -149,6 +149,39 @@ def test_index_search_equals_the_full_search(spark, tmp_path, head):
         assert all(abs(r.score - scores[r.query_id, r.doc_id]) <= 2e-9 for r in got) and len(want) > 20
 
 
+def test_index_counts_rows_of_one_id_together(spark, tmp_path):
+    """Repeated and absent ids, upper case, bytes that are no UTF-8, and more terms than are sent at once."""
+    from rebasket.operators import text_index
+
+    rows = [(1, "Aa b aa"), (1, "aa Ü"), (2, None), (None, "aa q"), (None, "q"), (3, "x9 É漢 x9"), (4, "")]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    broken = spark.sql("select 5L as id, cast(X'6101FF62' as string) as text")
+    many = spark.createDataFrame([(6, " ".join(f"w{k}" for k in range(300)))], "id long, text string")
+    documents = texts.unionByName(broken).unionByName(many).coalesce(2)
+
+    def found(frame):
+        return sorted((str(r.id), r.term, r.n) for r in frame.collect())
+
+    assert found(text_index._counted(documents, "id", "text")) == found(text_index.term_counts(documents, "id"))
+
+
+def test_index_search_shuffles_no_pairs(spark, tmp_path):
+    """Frequent terms only, so that nearly every document answers every question."""
+    from rebasket.operators.text_index import build_text_index, search_index
+
+    texts = [(k, " ".join(f"t{j}" for j in range(12) if (k * 7 + j * j) % 5)) for k in range(400)]
+    documents = spark.createDataFrame(texts, "id long, text string").repartition(4)
+    questions = spark.createDataFrame([(q, t) for q, t in texts[:50]], "q long, text string")
+    index = build_text_index(documents, str(tmp_path / "index"), "id", head=4, shards=3)
+    got = search_index(index, questions, "q", k=2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # Postings are dealt by document; no table of running pairs is joined to the postings again.
+    assert "RepartitionByExpression [id" in plan and plan.count("Join Inner") == 1
+    want = text_top_k(documents, questions, "id", "q", k=2)
+    order = ["query_id", "rank", "doc_id"]
+    assert got.select(order).orderBy(order).collect() == want.select(order).orderBy(order).collect()
+
+
 def test_index_of_nothing(spark, tmp_path):
     from rebasket.operators.text_index import build_text_index, search_index
 
