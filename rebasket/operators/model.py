@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from rebasket.config import FeatureConfig, ModelConfig, TrainingConfig
 from rebasket.functions.rules import MODEL_CONFIDENCE, MODEL_REASON, class_label
+from rebasket.operators.forest import Layout, grow, scores
 from rebasket.operators.sampling import cap_rows, stratified_split
 from rebasket.operators.statistics import accuracy, medians, modes, roc_auc, text_modes
 from rebasket.session import hand_over, shared_folder, spread_rows
@@ -86,10 +84,9 @@ def encoder(categories: Sequence[str]) -> list:
     ]
 
 
-# Rows times trees of one fit.  Per row and tree a fit keeps a sampling count and three
-# generations of the node the row is in; in all trees at once that is 2 kB a row.
+# Rows times trees of one forest, where a model is to be saved as several, and the least trees of each.
 MAX_ROW_TREES = 200_000_000
-MIN_TREES = 10  # a fit reads all rows once per level, so fewer trees are not worth one
+MIN_TREES = 10
 
 
 def _share(value: object) -> str:
@@ -141,7 +138,7 @@ def classifier(config: ModelConfig, label: str, tree_memory_mb: int = 1024) -> R
 
 
 def tree_groups(trees: int, rows: int, most: int = MAX_ROW_TREES, least: int = MIN_TREES) -> list[int]:
-    """How many trees each fit grows, nearly alike, so that what a fit keeps per row stays within bounds."""
+    """How many trees each forest of a model has, nearly alike, so that none has more rows times trees than ``most``."""
     fits = -(-trees // max(most // max(rows, 1), least, 1))
     return [trees // fits + (k < trees % fits) for k in range(fits)]
 
@@ -173,40 +170,39 @@ def preprocessing(df: DataFrame, features: FeatureConfig) -> list:
     return [fill, *encoder(categories), assembler(filled_columns(fill, numeric), categories)]
 
 
+def layout(stages: Sequence) -> Layout:
+    """What the vectors of fitted preprocessing stages hold: numbers, then one-hot columns."""
+    hot = [stage for stage in stages if isinstance(stage, OneHotEncoderModel)]
+    sizes = [size - 1 for stage in hot for size in stage.categorySizes]  # the last one is all zeros
+    return Layout(len(stages[-1].getInputCols()) - len(sizes), tuple(sizes))
+
+
 def fit_model(
     train: DataFrame,
     features: FeatureConfig = FeatureConfig(),
     model: ModelConfig = ModelConfig(),
-    max_row_trees: int = MAX_ROW_TREES,
+    max_row_trees: int | None = None,
     min_trees: int = MIN_TREES,
 ) -> PipelineModel:
-    """The stages before the forest, and the forest, for many rows in groups of trees (see ``tree_groups``)."""
+    """The stages before the forest, and the forest; with ``max_row_trees`` several (see ``tree_groups``)."""
     forest = classifier(model, features.label)
     inputs = Pipeline(stages=preprocessing(train, features)).fit(train)
-    # Stored: every fit reads the prepared rows three times, for classes, bins and trees.
+    # Stored: growing reads the prepared rows three times, for classes, bins and blocks.
     prepared = spread_rows(inputs.transform(train).select("features", features.label))
     rows = hand_over(prepared, "prepared").read(train.sparkSession)
-    groups = tree_groups(forest.getNumTrees(), rows.count(), max_row_trees, min_trees)
-    # A copy has no training summary.  The summary holds the session, which
-    # cannot travel to the tasks once any query of it has been observed.
-    forests = [part.fit(rows).copy() for part in grown_in_groups(forest, groups)]
+    groups = [forest.getNumTrees()]
+    if max_row_trees is not None:
+        groups = tree_groups(forest.getNumTrees(), rows.count(), max_row_trees, min_trees)
+    forests = grow(rows, grown_in_groups(forest, groups), layout(inputs.stages))
     return PipelineModel([*inputs.stages, *forests])
 
 
 def predict(model: PipelineModel, records: DataFrame) -> DataFrame:
     """Add ``prediction`` (0 or 1) and the positive ``probability``, the mean over all trees."""
-    scored = model.transform(records)
     forests = [stage for stage in model.stages if isinstance(stage, RandomForestClassificationModel)]
-    if len(forests) == 1:
-        probability, prediction = vector_to_array("probability")[1], F.col("prediction")
-    else:
-        trees = sum(forest.getNumTrees for forest in forests)
-        votes = [vector_to_array(forest.getProbabilityCol())[1] * forest.getNumTrees for forest in forests]
-        probability = reduce(add, votes) / trees
-        prediction = probability > 0.5
-    return scored.select(
-        *records.columns, prediction.cast("int").alias("prediction"), probability.alias("probability")
-    )
+    inputs = PipelineModel([stage for stage in model.stages if stage not in forests])
+    scored = inputs.transform(records).select(*records.columns, scores(forests, F.col("features")).alias("_score"))
+    return scored.select(*records.columns, "_score.prediction", "_score.probability")
 
 
 def model_result(scored: DataFrame, mode: str = "model") -> DataFrame:
